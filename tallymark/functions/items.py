@@ -73,11 +73,12 @@ def decode_items(doc: Column) -> Column:
     return F.transform(F.from_json(_fold_key_case(doc), _ITEMS, _STANDARD_JSON), _item)
 
 
-def has_unknown_field(doc: Column) -> Column:
-    """Whether any object of the document has a field outside ``FIELDS``."""
-    keys = F.from_json(doc, "array<map<string,string>>", _STANDARD_JSON)
-    known = [F.lit(f) for f in FIELDS]
-    return F.exists(keys, lambda m: F.exists(F.map_keys(m), lambda k: ~F.lower(k).isin(*known)))
+def has_unknown_field(doc: Column, many: bool = False) -> Column:
+    """Whether the object, or with ``many`` any object of the array, has a field outside ``FIELDS``."""
+    unknown = lambda m: F.exists(F.map_keys(m), lambda k: ~F.lower(k).isin(*FIELDS))
+    if many:
+        return F.exists(F.from_json(doc, "array<map<string,string>>", _STANDARD_JSON), unknown)
+    return unknown(F.from_json(doc, "map<string,string>", _STANDARD_JSON))
 
 
 def is_single_flat_object(doc: Column) -> Column:

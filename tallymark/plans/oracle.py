@@ -100,7 +100,8 @@ _UPSERTED = """SELECT coalesce(n.type, b.type) AS type, coalesce(n.name, b.name)
 _ADDED = "CASE WHEN b.delta IS NOT NULL OR n.delta IS NOT NULL THEN coalesce(b.delta, 0) + coalesce(n.delta, 0) END"
 
 _DOC_BROKEN = """(seq % 71 = 6 OR (seq % 83 <> 2 AND (
-    (seq % 61 = 10 AND type <> 'gauge') OR (seq % 61 <> 10 AND raw_value = 'abc'))))"""
+    (seq % 61 = 10 AND type <> 'gauge') OR (seq % 61 <> 10 AND raw_value = 'abc')
+    OR (seq % 61 <> 10 AND type <> 'gauge' AND raw_value LIKE '%.%'))))"""
 _DOC_VALUE = """CASE WHEN seq % 83 = 2 THEN NULL WHEN seq % 61 = 10 THEN 1.5
     ELSE TRY_CAST(raw_value AS DOUBLE) END"""
 _DOC_DELTA = "CASE WHEN seq % 83 <> 2 THEN TRY_CAST(raw_value AS BIGINT) END"
@@ -191,7 +192,7 @@ _SQL = {
     "scalar_parse_format": (
         """SELECT l_extendedprice * 1000 AS number,
             regexp_replace(CAST(l_extendedprice * 1000 AS VARCHAR), '\\.0$', '') AS number_shown,
-            regexp_replace(CAST(CAST(printf('%.4f', l_discount / 100) AS DOUBLE) AS VARCHAR), '\\.0$', '') AS small_shown,
+            regexp_replace(CAST(l_discount / 100 AS VARCHAR), '\\.0$', '') AS small_shown,
             l_orderkey AS int, CAST(NULL AS BIGINT) AS int_of_number, CAST(-l_orderkey AS VARCHAR) AS int_shown
         FROM lineitem""",
         (),

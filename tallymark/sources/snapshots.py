@@ -63,7 +63,7 @@ def decode_snapshot(docs: DataFrame, whole: bool) -> DataFrame:
         J.starts_with(text, "[" if whole else "{")
         & F.col("items").isNotNull()
         & F.forall("items", lambda e: e["typed"])
-        & ~J.has_unknown_field(text)
+        & ~J.has_unknown_field(text, many=whole)
     )
     error = F.when(~F.coalesce(readable, F.lit(False)), F.lit(S.MALFORMED_JSON))
     gated = require(parsed, error, F.substring(text, 1, 80), "unreadable snapshot")
