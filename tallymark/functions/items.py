@@ -1,8 +1,8 @@
 """JSON metric documents: strict decoding into typed items.
 
-Spark's lenient JSON rules would turn ``"delta": 1.5`` or ``"delta": "7"`` into NULL or a number.
-Parsing the four fields as VARIANT keeps the JSON type of each, so mismatches can be told apart
-from absent fields in one pass over the document.
+Spark's JSON rules are lenient: ``"delta": 1.5`` or ``"delta": "7"`` becomes NULL and ``"id": 5``
+the text ``5``, where a strict reader refuses the document. Documents with any sign of that are
+parsed into VARIANT fields, which keep their JSON types; all others take the plain typed parse.
 """
 
 from __future__ import annotations
@@ -12,9 +12,27 @@ from pyspark.sql import functions as F
 
 FIELDS = ("id", "type", "delta", "value")
 
-_ITEMS = "array<struct<id:variant,type:variant,delta:variant,value:variant>>"
+_TYPED = "array<struct<id:string,type:string,delta:bigint,value:double>>"
+_VARIANTS = "array<struct<id:variant,type:variant,delta:variant,value:variant>>"
 _STANDARD_JSON = {"allowSingleQuotes": "false", "allowNonNumericNumbers": "false"}
 
+# A field name in another case.
+_ODD_KEY = r'"(?!(?:id|type|delta|value)")(?i:id|type|delta|value)"\s*+:'
+# Signs that a field may not have its JSON type or range: a text field that does not start with a
+# quote, an operand that does not start like a number, a delta with a fraction or an exponent, and
+# numbers of a length or exponent that may overflow. May also match inside texts, which only costs
+# the slower parse.
+_SUSPICIOUS = "|".join(
+    (
+        r'"(?:id|type)"\s*+:\s*+[^"]',
+        r'"(?:delta|value)"\s*+:\s*+[^-0-9]',
+        r'"delta"\s*+:\s*+-?[0-9]++[.eE]',
+        r'"delta"\s*+:\s*+-?[0-9]{19}',
+        r"[0-9][eE]\+?[0-9]{3}",
+        r"[0-9]{300}",
+        _ODD_KEY,
+    )
+)
 # One object without nesting and nothing after it but blanks. Possessive, so it never backtracks.
 _FLAT_OBJECT = r'\A\s*+\{(?:[^{}\[\]"]++|"(?:[^"\\]++|\\.)*+")*+\}\s*+\z'
 
@@ -24,37 +42,43 @@ def _fold_key_case(doc: Column) -> Column:
     folded = doc
     for field in FIELDS:
         folded = F.regexp_replace(folded, rf'(?<!\\)"(?i:{field})"(\s*+:)', f'"{field}"$1')
-    odd = r'"(?!(?:id|type|delta|value)")(?i:id|type|delta|value)"\s*+:'
-    return F.when(doc.rlike(odd), folded).otherwise(doc)
-
+    return F.when(doc.rlike(_ODD_KEY), folded).otherwise(doc)
 
-def _is_absent(v: Column) -> Column:
-    return v.isNull() | F.is_variant_null(v)
 
+def _has_type(v: Column, *prefixes: str) -> Column:
+    """Whether a field is absent, ``null`` or of a JSON type whose name starts with a two-letter prefix."""
+    return v.isNull() | F.substring(F.schema_of_variant(v), 1, 2).isin("VO", *prefixes)
 
-def _json_type(v: Column) -> Column:
-    return F.schema_of_variant(v)
 
-
-def _item(e: Column) -> Column:
+def _has_types(e: Column) -> Column:
     value = F.try_variant_get(e["value"], "$", "double")
-    value_type = _json_type(e["value"])
-    number = value_type.isin("BIGINT", "DOUBLE") | value_type.startswith("DECIMAL")
-    typed = (
-        (_is_absent(e["id"]) | (_json_type(e["id"]) == "STRING"))
-        & (_is_absent(e["type"]) | (_json_type(e["type"]) == "STRING"))
-        & (_is_absent(e["delta"]) | (_json_type(e["delta"]) == "BIGINT"))
-        & (_is_absent(e["value"]) | (number & (F.abs(value) < F.lit(float("inf")))))
+    return (
+        _has_type(e["id"], "ST") & _has_type(e["type"], "ST")
+        & _has_type(e["delta"], "BI") & _has_type(e["value"], "BI", "DE", "DO")
+        & (value.isNull() | (F.abs(value) < F.lit(float("inf"))))
     )
+
+
+def _typed(e: Column) -> Column:
     return F.struct(
-        F.coalesce(F.try_variant_get(e["id"], "$", "string"), F.lit("")).alias("name"),
-        F.coalesce(F.try_variant_get(e["type"], "$", "string"), F.lit("")).alias("type"),
+        F.try_variant_get(e["id"], "$", "string").alias("id"),
+        F.try_variant_get(e["type"], "$", "string").alias("type"),
         F.try_variant_get(e["delta"], "$", "bigint").alias("delta"),
-        value.alias("value"),
-        typed.alias("typed"),
+        F.try_variant_get(e["value"], "$", "double").alias("value"),
     )
 
 
+def decode_items(doc: Column) -> Column:
+    """Array of ``(id, type, delta, value)``; NULL where the text is not a document of metrics.
+
+    A single object gives one item, a ``null`` element a NULL or an empty one. Text after the first
+    JSON value is ignored.
+    """
+    variants = F.from_json(_fold_key_case(doc), _VARIANTS, _STANDARD_JSON)
+    strict = F.when(F.forall(variants, _has_types), F.transform(variants, _typed))
+    return F.when(doc.rlike(_SUSPICIOUS), strict).otherwise(F.from_json(doc, _TYPED, _STANDARD_JSON))
+
+
 def is_null_document(doc: Column) -> Column:
     return F.trim(doc) == "null"
 
@@ -64,15 +88,6 @@ def starts_with(doc: Column, bracket: str) -> Column:
     return F.ltrim(doc, F.lit(" \t\r\n")).startswith(bracket)
 
 
-def decode_items(doc: Column) -> Column:
-    """Array of ``(name, type, delta, value, typed)``; NULL where the text is not JSON metrics.
-
-    A single object gives one item. A ``null`` item has empty fields. Text after the first JSON
-    value is ignored.
-    """
-    return F.transform(F.from_json(_fold_key_case(doc), _ITEMS, _STANDARD_JSON), _item)
-
-
 def has_unknown_field(doc: Column, many: bool = False) -> Column:
     """Whether the object, or with ``many`` any object of the array, has a field outside ``FIELDS``."""
     unknown = lambda m: F.exists(F.map_keys(m), lambda k: ~F.lower(k).isin(*FIELDS))

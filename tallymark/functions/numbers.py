@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # Accepted number texts (fixed values): decimal and hexadecimal floats with single underscores
@@ -37,18 +37,29 @@ def finite_or_zero(v: Column) -> Column:
     return F.when(F.isnan(v) | (F.abs(v) == F.lit(_INF)), F.lit(0.0)).otherwise(v)
 
 
-def parse_float(text: Column) -> Column:
-    """DOUBLE of a number text, NULL where it is not one or overflows the range."""
-    number = F.replace(text, F.lit("_"), F.lit("")).try_cast("double")
+def float_literal(text: Column) -> Column:
+    """DOUBLE of a number text, infinite where it overflows, NULL where it is not a number text."""
+    plain = F.when(text.contains("_"), F.replace(text, F.lit("_"), F.lit(""))).otherwise(text)
+    return F.when(text.rlike(FLOAT_TEXT), plain.try_cast("double"))
+
+
+def float_value(literal: Column, text: Column) -> Column:
+    """A parsed literal, NULL where it overflowed, or the meaning of a special word."""
     word = F.lower(text)
     return (
-        F.when(text.rlike(FLOAT_TEXT), F.when(F.abs(number) < F.lit(_INF), number))
+        F.when(F.abs(literal) < F.lit(_INF), literal)
+        .when(literal.isNotNull(), F.lit(None).cast("double"))
         .when(word.isin(*_POSITIVE_INFINITY), F.lit(_INF))
         .when(word.isin(*_NEGATIVE_INFINITY), F.lit(-_INF))
         .when(word == _NOT_A_NUMBER, F.lit(float("nan")))
     )
 
 
+def parse_float(text: Column) -> Column:
+    """DOUBLE of a number text, NULL where it is not one or overflows the range."""
+    return float_value(float_literal(text), text)
+
+
 def parse_int(text: Column) -> Column:
     """BIGINT of a signed decimal text, NULL where it is not one or overflows the range."""
     return F.when(text.rlike(INT_TEXT), text.try_cast("bigint"))
@@ -121,6 +132,21 @@ def format_float(v: Column) -> Column:
     )
 
 
+def parse_operands(rows: DataFrame, kind: str = "type", raw: str = "raw_value") -> DataFrame:
+    """Add ``value`` / ``delta``, parsed from the text by kind.
+
+    The parsed literals leave a generator, not a projection: a filter on them is then not pushed
+    below, which would evaluate the patterns and casts a second time.
+    """
+    gauge, text = F.col(kind) == "gauge", F.col(raw)
+    literals = F.struct(
+        F.when(gauge, float_literal(text)).alias("literal"),
+        F.when(F.col(kind) == "counter", parse_int(text)).alias("delta"),
+    )
+    parsed = rows.select("*", F.inline(F.array(literals)))
+    return parsed.withColumn("value", F.when(gauge, float_value(F.col("literal"), text))).drop("literal")
+
+
 def wrapping_sum(v: Column) -> Column:
     """Sum of BIGINTs modulo 2^64, as two's-complement addition gives it."""
     total = F.sum(v.cast("decimal(28,0)"))

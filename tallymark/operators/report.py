@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallymark import schema as S
-from tallymark.functions.numbers import finite_or_zero, parse_float, parse_int
+from tallymark.functions.numbers import finite_or_zero, parse_operands
 from tallymark.operators.validate import unsupported
 
 POLL_SECONDS = 2
@@ -99,13 +99,7 @@ def wire_json(kind: Column, name: Column, value: Column, delta: Column) -> Colum
 
 def wire_encode(rows: DataFrame) -> DataFrame:
     """Text metrics ``(type, name, raw_value)`` as JSON objects in ``payload``, or an ``error``."""
-    kind, raw = F.col("type"), F.col("raw_value")
-    parsed = rows.withColumns(
-        {
-            "value": F.when(kind == S.GAUGE, parse_float(raw)),
-            "delta": F.when(kind == S.COUNTER, parse_int(raw)),
-        }
-    )
+    kind, parsed = F.col("type"), parse_operands(rows)
     error = F.when(unsupported(kind), F.lit(S.UNSUPPORTED_TYPE)).when(
         F.col("value").isNull() & F.col("delta").isNull(), F.lit(S.INVALID_VALUE)
     )

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallymark import schema as S
-from tallymark.functions.numbers import is_finite, parse_float, parse_int
+from tallymark.functions.numbers import is_finite, parse_operands
 from tallymark.session import shared_dir
 
 # Order of the outcomes inside a packed verdict; position + 1 is the code (fixed values).
@@ -42,13 +42,7 @@ def check_text(updates: DataFrame, max_lengths: bool = False) -> DataFrame:
 
     Order of the checks: name, type, operand. ``max_lengths`` adds the relational column widths.
     """
-    kind, raw = F.col("type"), F.col("raw_value")
-    parsed = updates.withColumns(
-        {
-            "value": F.when(kind == S.GAUGE, parse_float(raw)),
-            "delta": F.when(kind == S.COUNTER, parse_int(raw)),
-        }
-    )
+    kind, parsed = F.col("type"), parse_operands(updates)
     error = (
         F.when(blank(F.col("name")), F.lit(S.NAME_EMPTY))
         .when(unsupported(kind), F.lit(S.UNSUPPORTED_TYPE))

@@ -58,17 +58,24 @@ def decode_snapshot(docs: DataFrame, whole: bool) -> DataFrame:
     """Snapshot rows of JSON texts in ``value``: arrays when ``whole``, else one object per line."""
     text = F.col("value")
     present = docs.where((F.trim(text) != "") & ~J.is_null_document(text))
-    parsed = present.withColumn("items", J.decode_items(text))
-    readable = (
-        J.starts_with(text, "[" if whole else "{")
-        & F.col("items").isNotNull()
-        & F.forall("items", lambda e: e["typed"])
-        & ~J.has_unknown_field(text, many=whole)
-    )
-    error = F.when(~F.coalesce(readable, F.lit(False)), F.lit(S.MALFORMED_JSON))
-    gated = require(parsed, error, F.substring(text, 1, 80), "unreadable snapshot")
-    rows = gated.select(F.posexplode("items").alias("pos", "item")).select(
-        "pos", F.col("item.name").alias("id"), "item.type", "item.value", "item.delta"
-    )
+    start = "[" if whole else "{"
+    strict = F.when(J.starts_with(text, start) & ~J.has_unknown_field(text, many=whole), text)
+    # The stand-in for an unreadable text keeps it apart from an empty array and fails the gate below.
+    rows = present.select(F.posexplode_outer(F.coalesce(J.decode_items(strict), _unreadable())).alias("pos", "item"))
     c = F.col
-    return require(rows, snapshot_error(c("id"), c("type"), c("value"), c("delta")), c("id"), "invalid snapshot row")
+    error = snapshot_error(c("item.id"), c("item.type"), c("item.value"), c("item.delta"))
+    error = F.when(c("item.type") == S.MALFORMED_JSON, F.lit(S.MALFORMED_JSON)).otherwise(error)
+    gated = require(rows.where("pos IS NOT NULL"), error, c("item.id"), "invalid snapshot row")
+    return gated.select("pos", "item.id", "item.type", "item.value", "item.delta")
+
+
+def _unreadable():
+    """Stands for a text that cannot be read: one item of no known type."""
+    return F.array(
+        F.struct(
+            F.lit("").alias("id"),
+            F.lit(S.MALFORMED_JSON).alias("type"),
+            F.lit(None).cast("bigint").alias("delta"),
+            F.lit(None).cast("double").alias("value"),
+        )
+    )

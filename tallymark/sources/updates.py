@@ -41,11 +41,21 @@ def updates_from_uris(requests: DataFrame, uri: str = "uri") -> DataFrame:
 
 
 def _item_error(item: Column) -> Column:
-    return typed_error(item["type"], item["name"], item["value"], item["delta"])
+    return typed_error(item["type"], item["id"], item["value"], item["delta"])
 
 
-def _operand(kind: str, field: str) -> Column:
-    return F.when(F.col("item.type") == kind, F.col(f"item.{field}"))
+def _flatten(rows: DataFrame, keep: list[str]) -> DataFrame:
+    """Items as columns; a text field that is absent reads as empty, unless nothing was readable."""
+    item = lambda f: F.col(f"item.{f}")
+    readable = F.coalesce(F.col("error") != S.MALFORMED_JSON, F.lit(True))
+    return rows.select(
+        *keep,
+        F.when(readable, F.coalesce(item("type"), F.lit(""))).alias("type"),
+        F.when(readable, F.coalesce(item("id"), F.lit(""))).alias("name"),
+        F.when(item("type") == S.GAUGE, item("value")).alias("value"),
+        F.when(item("type") == S.COUNTER, item("delta")).alias("delta"),
+        "error",
+    )
 
 
 def decode_updates(docs: DataFrame, doc: str = "doc") -> DataFrame:
@@ -54,12 +64,12 @@ def decode_updates(docs: DataFrame, doc: str = "doc") -> DataFrame:
     The first JSON value counts and text after it is ignored; ``null`` is a metric without fields.
     """
     text = F.col(doc)
-    empty = F.lit('{"id":""}')
-    metric = F.when(J.is_null_document(text), empty).when(J.starts_with(text, "{"), text)
-    parsed = docs.withColumn("item", F.get(J.decode_items(metric), F.lit(0)))
-    item = F.when(F.col("item.typed"), F.col("item"))
-    error = F.when(item.isNull(), F.lit(S.MALFORMED_JSON)).otherwise(_item_error(F.col("item")))
-    return _flatten(parsed.withColumns({"error": error, "item": item}), docs.columns)
+    metric = F.when(J.is_null_document(text), F.lit("{}")).when(J.starts_with(text, "{"), text)
+    # The item leaves a generator, so filters on the outcome do not repeat the parse below it.
+    parsed = docs.select("*", F.explode_outer(J.decode_items(metric)).alias("item"))
+    item = F.col("item")
+    error = F.when(item.isNull(), F.lit(S.MALFORMED_JSON)).otherwise(_item_error(item))
+    return _flatten(parsed.withColumn("error", error), docs.columns)
 
 
 def decode_batches(docs: DataFrame, doc: str = "doc") -> DataFrame:
@@ -70,45 +80,28 @@ def decode_batches(docs: DataFrame, doc: str = "doc") -> DataFrame:
     shuffle. An unreadable document gives one row without fields; ``[]`` and ``null`` give none.
     """
     text = F.col(doc)
-    parsed = docs.withColumn("items", J.decode_items(text))
+    array = F.when(J.starts_with(text, "["), text)
+    parsed = docs.where(~J.is_null_document(text)).withColumn("items", J.decode_items(array))
     items = F.col("items")
-    readable = J.starts_with(text, "[") & items.isNotNull() & F.forall(items, lambda e: e["typed"])
     errors = F.transform(items, _item_error)
     at_once = F.get(F.filter(errors, lambda e: e.isNotNull() & (e != S.NAME_EMPTY)), F.lit(0))
     named = F.get(F.filter(errors, lambda e: e.isNotNull()), F.lit(0))
-    error = F.when(~F.coalesce(readable, F.lit(False)), F.lit(S.MALFORMED_JSON)).otherwise(F.coalesce(at_once, named))
-    judged = parsed.where(~J.is_null_document(text)).withColumn("error", error)
-    shown = F.when(F.col("error") != S.MALFORMED_JSON, items).when(F.col("error").isNull(), items)
-    exploded = judged.select(*docs.columns, "error", F.posexplode_outer(shown).alias("pos", "item"))
+    error = F.when(items.isNull(), F.lit(S.MALFORMED_JSON)).otherwise(F.coalesce(at_once, named))
+    judged = parsed.withColumn("error", error)
+    exploded = judged.select(*docs.columns, "error", F.posexplode_outer(items).alias("pos", "item"))
     filled = exploded.where(F.col("pos").isNotNull() | F.col("error").isNotNull())
     return _flatten(filled, [*docs.columns, "pos"])
 
 
-def _flatten(rows: DataFrame, keep: list[str]) -> DataFrame:
-    return rows.select(
-        *keep,
-        F.col("item.type").alias("type"),
-        F.col("item.name").alias("name"),
-        _operand(S.GAUGE, "value").alias("value"),
-        _operand(S.COUNTER, "delta").alias("delta"),
-        "error",
-    )
-
-
 def decode_lookups(docs: DataFrame, doc: str = "doc") -> DataFrame:
-    """Strict lookup documents: an unknown field or a second JSON value is an error.
+    """Strict lookup documents as ``(type, name)``: unknown fields or a second value are an ``error``.
 
     Every legal request is one flat object, so the flat-object pattern also rules out whatever
     follows it.
     """
     text = F.col(doc)
-    parsed = docs.withColumn("item", F.get(J.decode_items(text), F.lit(0)))
-    readable = J.is_single_flat_object(text) & F.col("item.typed") & ~J.has_unknown_field(text)
-    good = F.coalesce(readable, F.lit(False))
-    blank = F.when(J.is_null_document(text), F.lit(""))
-    return parsed.select(
-        *docs.columns,
-        F.when(good, F.col("item.type")).otherwise(blank).alias("type"),
-        F.when(good, F.col("item.name")).otherwise(blank).alias("name"),
-        F.when(~good & ~J.is_null_document(text), F.lit(S.MALFORMED_JSON)).alias("error"),
-    )
+    strict = F.when(J.is_single_flat_object(text) & ~J.has_unknown_field(text), text)
+    metric = F.when(J.is_null_document(text), F.lit("{}")).otherwise(strict)
+    parsed = docs.select("*", F.explode_outer(J.decode_items(metric)).alias("item"))
+    error = F.when(F.col("item").isNull(), F.lit(S.MALFORMED_JSON))
+    return _flatten(parsed.withColumn("error", error), docs.columns).drop("value", "delta")
