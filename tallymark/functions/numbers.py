@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tallymark.functions.stage import computed_once
+
 # Accepted number texts (fixed values): decimal and hexadecimal floats with single underscores
 # between digits, and plain signed integers. Possessive groups keep the matcher iterative.
 _DIGITS = r"[0-9]++(?:_[0-9]++)*+"
@@ -133,17 +135,13 @@ def format_float(v: Column) -> Column:
 
 
 def parse_operands(rows: DataFrame, kind: str = "type", raw: str = "raw_value") -> DataFrame:
-    """Add ``value`` / ``delta``, parsed from the text by kind.
-
-    The parsed literals leave a generator, not a projection: a filter on them is then not pushed
-    below, which would evaluate the patterns and casts a second time.
-    """
+    """Add ``value`` / ``delta``, parsed from the text by kind."""
     gauge, text = F.col(kind) == "gauge", F.col(raw)
-    literals = F.struct(
-        F.when(gauge, float_literal(text)).alias("literal"),
-        F.when(F.col(kind) == "counter", parse_int(text)).alias("delta"),
+    parsed = computed_once(
+        rows,
+        literal=F.when(gauge, float_literal(text)),
+        delta=F.when(F.col(kind) == "counter", parse_int(text)),
     )
-    parsed = rows.select("*", F.inline(F.array(literals)))
     return parsed.withColumn("value", F.when(gauge, float_value(F.col("literal"), text))).drop("literal")
 
 

@@ -138,7 +138,9 @@ def interval_fold(updates: DataFrame, width: str, ts: str = "ts", order: str = "
 
     On a stream ``watermark`` lets closed intervals leave the state store.
     """
-    rows = updates if watermark is None else updates.withWatermark(ts, watermark)
+    rows = updates
+    if watermark is not None:
+        rows = updates.withColumn(ts, F.col(ts).cast("timestamp")).withWatermark(ts, watermark)
     folded = rows.groupBy(F.window(ts, width), *S.KEY).agg(
         F.max_by("value", order).alias("value"), F.sum("delta").alias("delta")
     )

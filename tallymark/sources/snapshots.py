@@ -51,13 +51,13 @@ def load_snapshot(spark: SparkSession, path: str) -> DataFrame:
         files, whole = [path], True
     if not files:
         return spark.createDataFrame([], "pos int, id string, type string, value double, delta bigint")
-    return decode_snapshot(spark.read.option("wholetext", whole).text(files), whole)
+    return decode_snapshot(spark.read.text(files, wholetext=whole), whole)
 
 
 def decode_snapshot(docs: DataFrame, whole: bool) -> DataFrame:
     """Snapshot rows of JSON texts in ``value``: arrays when ``whole``, else one object per line."""
     text = F.col("value")
-    present = docs.where((F.trim(text) != "") & ~J.is_null_document(text))
+    present = docs.where((J.stripped(text) != "") & ~J.is_null_document(text))
     start = "[" if whole else "{"
     strict = F.when(J.starts_with(text, start) & ~J.has_unknown_field(text, many=whole), text)
     # The stand-in for an unreadable text keeps it apart from an empty array and fails the gate below.

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tallymark import schema as S
 from tallymark.functions import items as J
+from tallymark.functions.stage import computed_once
 from tallymark.functions.text import decode_path
 from tallymark.operators.validate import typed_error
 
@@ -23,7 +24,7 @@ def updates_from_uris(requests: DataFrame, uri: str = "uri") -> DataFrame:
     fields of those are NULL. Pass the result to ``check_text``.
     """
     path = F.substring_index(F.substring_index(F.col(uri), "?", 1), "#", 1)
-    parts = requests.withColumn("parts", F.split(decode_path(path), "/"))
+    parts = computed_once(requests, parts=F.split(decode_path(path), "/"))
     part = lambda i: F.get("parts", F.lit(i))
     n = F.size("parts")
     routed = (
@@ -81,13 +82,13 @@ def decode_batches(docs: DataFrame, doc: str = "doc") -> DataFrame:
     """
     text = F.col(doc)
     array = F.when(J.starts_with(text, "["), text)
-    parsed = docs.where(~J.is_null_document(text)).withColumn("items", J.decode_items(array))
+    parsed = computed_once(docs.where(~J.is_null_document(text)), items=J.decode_items(array))
     items = F.col("items")
     errors = F.transform(items, _item_error)
     at_once = F.get(F.filter(errors, lambda e: e.isNotNull() & (e != S.NAME_EMPTY)), F.lit(0))
     named = F.get(F.filter(errors, lambda e: e.isNotNull()), F.lit(0))
     error = F.when(items.isNull(), F.lit(S.MALFORMED_JSON)).otherwise(F.coalesce(at_once, named))
-    judged = parsed.withColumn("error", error)
+    judged = computed_once(parsed, error=error)
     exploded = judged.select(*docs.columns, "error", F.posexplode_outer(items).alias("pos", "item"))
     filled = exploded.where(F.col("pos").isNotNull() | F.col("error").isNotNull())
     return _flatten(filled, [*docs.columns, "pos"])
