@@ -65,8 +65,8 @@ def decode_snapshot(docs: DataFrame, whole: bool) -> DataFrame:
     c = F.col
     error = snapshot_error(c("item.id"), c("item.type"), c("item.value"), c("item.delta"))
     error = F.when(c("item.type") == S.MALFORMED_JSON, F.lit(S.MALFORMED_JSON)).otherwise(error)
-    gated = require(rows.where("pos IS NOT NULL"), error, c("item.id"), "invalid snapshot row")
-    return gated.select("pos", "item.id", "item.type", "item.value", "item.delta")
+    gated = require(rows, F.when(c("pos").isNotNull(), error), c("item.id"), "invalid snapshot row")
+    return gated.where("pos IS NOT NULL").select("pos", "item.id", "item.type", "item.value", "item.delta")
 
 
 def _unreadable():
