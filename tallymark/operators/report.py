@@ -32,6 +32,11 @@ def start_of(rows: DataFrame, ts: str = "ts") -> Column:
     return rows.agg(F.min(ts)).scalar()
 
 
+def end_of(rows: DataFrame, ts: str = "ts") -> Column:
+    """Latest time of a table as a scalar subquery."""
+    return rows.agg(F.max(ts)).scalar()
+
+
 def report_ticks(
     samples: DataFrame,
     ts: str = "ts",
@@ -108,15 +113,16 @@ def wire_encode(rows: DataFrame) -> DataFrame:
     return checked.withColumn("payload", F.when(F.col("error").isNull(), payload)).drop("value", "delta")
 
 
-def report_payload(reports: DataFrame, limit: int = PAYLOAD_LIMIT) -> DataFrame:
+def report_payload(reports: DataFrame, limit: int = PAYLOAD_LIMIT, metrics: DataFrame | None = None) -> DataFrame:
     """JSON-array payloads ``(tick, part, payload)`` of the shipped state, sorted inside by name.
 
     A report of up to ``limit`` metrics is one payload. Larger ones are split by key hash into
     parts of about that size: adding up consecutive batches gives the same state, and no group
-    grows with the number of metrics. Ticks without metrics give no row.
+    grows with the number of metrics. Ticks without metrics give no row. ``metrics`` is a cheaper
+    frame to count the metrics in, such as the update log itself.
     """
     key = F.xxhash64(*S.KEY)
-    keys = reports.agg(F.approx_count_distinct(key)).scalar()
+    keys = (reports if metrics is None else metrics).agg(F.approx_count_distinct(key)).scalar()
     parts = F.greatest(F.call_function("div", keys + F.lit(limit - 1), F.lit(limit)), F.lit(1).cast("bigint"))
     metric = F.struct(
         F.col("name").alias("id"), "type", "delta", finite_or_zero(F.col("value")).alias("value")

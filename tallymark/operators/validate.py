@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tallymark import schema as S
 from tallymark.functions.numbers import is_finite, parse_operands
+from tallymark.functions.stage import computed_once
 from tallymark.session import shared_dir
 
 # Order of the outcomes inside a packed verdict; position + 1 is the code (fixed values).
@@ -92,10 +93,13 @@ def check_snapshot(rows: DataFrame) -> DataFrame:
 def require(rows: DataFrame, error: Column, label: Column, what: str) -> DataFrame:
     """Pass the rows through, failing the job at the first one whose ``error`` is set.
 
-    The gate is a filter, so it costs no extra pass and column pruning cannot drop it.
+    The gate is a filter, so it costs no extra pass and column pruning cannot drop it. Its column
+    is computed on these very rows: pushed further down it would also see rows that an earlier
+    filter takes out.
     """
     message = F.concat(F.lit(f"{what}: "), error, F.lit(" at "), F.coalesce(label.cast("string"), F.lit("?")))
-    return rows.where(F.when(error.isNull(), F.lit(True)).otherwise(F.raise_error(message).cast("boolean")))
+    passed = F.when(error.isNull(), F.lit(True)).otherwise(F.raise_error(message).cast("boolean"))
+    return computed_once(rows, passed=passed).where("passed").drop("passed")
 
 
 def valid(checked: DataFrame) -> DataFrame:

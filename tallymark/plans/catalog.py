@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallymark import schema as S
@@ -52,11 +52,12 @@ def _new(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _valid(spark, sf_dir).where(f"ts >= {views.CUT}")
 
 
-def _ticked(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Valid updates with the daily report tick that first ships them."""
-    rows = _valid(spark, sf_dir)
-    start = report.start_of(views.table(spark, sf_dir, "events"))
-    return rows.withColumn("tick", report.tick(F.col("ts"), start, report.DAY_SECONDS))
+def _ticked(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, Column]:
+    """Valid updates with the daily report tick that first ships them, and the last tick."""
+    events = views.table(spark, sf_dir, "events")
+    start = report.start_of(events)
+    tick = lambda ts: report.tick(ts, start, report.DAY_SECONDS)
+    return _valid(spark, sf_dir).withColumn("tick", tick(F.col("ts"))), tick(report.end_of(events))
 
 
 # --- sources
@@ -345,17 +346,21 @@ def report_ticks(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @registered
 def report_cumulative(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return report.report_cumulative(_ticked(spark, sf_dir))
+    rows, last = _ticked(spark, sf_dir)
+    return report.report_cumulative(rows, last_tick=last)
 
 
 @registered
 def report_overcount(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return report.report_overcount(_ticked(spark, sf_dir))
+    rows, last = _ticked(spark, sf_dir)
+    return report.report_overcount(rows, last_tick=last)
 
 
 @registered
 def report_payload(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return report.report_payload(report.report_cumulative(_ticked(spark, sf_dir)))
+    rows, last = _ticked(spark, sf_dir)
+    reports = report.report_cumulative(rows, last_tick=last)
+    return report.report_payload(reports, metrics=views.updates_raw(spark, sf_dir))
 
 
 @registered

@@ -69,7 +69,11 @@ _WITH = {
             / 86400000000) AS BIGINT)) AS tick FROM valid""",
         ("valid",),
     ),
-    "ticks": ("SELECT unnest(range(1, (SELECT max(tick) FROM ticked) + 1)) AS tick", ("ticked",)),
+    "ticks": (
+        """SELECT unnest(range(1, (SELECT CAST(ceil((max(epoch_us(ts)) - min(epoch_us(ts))) / 86400000000) AS BIGINT)
+            FROM events) + 1)) AS tick""",
+        ("ticked",),
+    ),
     "cumulative": (
         f"""SELECT t.tick, u.type, u.name, arg_max(u.value, u.seq) AS value, CAST(sum(u.delta) AS BIGINT) AS delta
         FROM ticks t JOIN ticked u ON u.tick <= t.tick GROUP BY ALL""",

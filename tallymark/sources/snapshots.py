@@ -59,9 +59,10 @@ def decode_snapshot(docs: DataFrame, whole: bool) -> DataFrame:
     text = F.col("value")
     present = docs.where((J.stripped(text) != "") & ~J.is_null_document(text))
     start = "[" if whole else "{"
-    strict = F.when(J.starts_with(text, start) & ~J.has_unknown_field(text, many=whole), text)
+    strict = J.starts_with(text, start) & ~J.has_unknown_field(text, many=whole)
+    items = F.coalesce(F.when(strict, J.decode_items(text)), _unreadable())
     # The stand-in for an unreadable text keeps it apart from an empty array and fails the gate below.
-    rows = present.select(F.posexplode_outer(F.coalesce(J.decode_items(strict), _unreadable())).alias("pos", "item"))
+    rows = present.select(F.posexplode_outer(items).alias("pos", "item"))
     c = F.col
     error = snapshot_error(c("item.id"), c("item.type"), c("item.value"), c("item.delta"))
     error = F.when(c("item.type") == S.MALFORMED_JSON, F.lit(S.MALFORMED_JSON)).otherwise(error)

@@ -65,11 +65,11 @@ def decode_updates(docs: DataFrame, doc: str = "doc") -> DataFrame:
     The first JSON value counts and text after it is ignored; ``null`` is a metric without fields.
     """
     text = F.col(doc)
-    metric = F.when(J.is_null_document(text), F.lit("{}")).when(J.starts_with(text, "{"), text)
+    items = F.when(J.starts_with(text, "{"), J.decode_items(text))
     # The item leaves a generator, so filters on the outcome do not repeat the parse below it.
-    parsed = docs.select("*", F.explode_outer(J.decode_items(metric)).alias("item"))
-    item = F.col("item")
-    error = F.when(item.isNull(), F.lit(S.MALFORMED_JSON)).otherwise(_item_error(item))
+    parsed = docs.select("*", F.explode_outer(items).alias("item"))
+    unread = F.col("item").isNull() & ~F.coalesce(J.is_null_document(text), F.lit(False))
+    error = F.when(unread, F.lit(S.MALFORMED_JSON)).otherwise(_item_error(F.col("item")))
     return _flatten(parsed.withColumn("error", error), docs.columns)
 
 
@@ -81,8 +81,8 @@ def decode_batches(docs: DataFrame, doc: str = "doc") -> DataFrame:
     shuffle. An unreadable document gives one row without fields; ``[]`` and ``null`` give none.
     """
     text = F.col(doc)
-    array = F.when(J.starts_with(text, "["), text)
-    parsed = computed_once(docs.where(~J.is_null_document(text)), items=J.decode_items(array))
+    present = docs.where(~F.coalesce(J.is_null_document(text), F.lit(False)))
+    parsed = computed_once(present, items=F.when(J.starts_with(text, "["), J.decode_items(text)))
     items = F.col("items")
     errors = F.transform(items, _item_error)
     at_once = F.get(F.filter(errors, lambda e: e.isNotNull() & (e != S.NAME_EMPTY)), F.lit(0))
@@ -101,8 +101,8 @@ def decode_lookups(docs: DataFrame, doc: str = "doc") -> DataFrame:
     follows it.
     """
     text = F.col(doc)
-    strict = F.when(J.is_single_flat_object(text) & ~J.has_unknown_field(text), text)
-    metric = F.when(J.is_null_document(text), F.lit("{}")).otherwise(strict)
-    parsed = docs.select("*", F.explode_outer(J.decode_items(metric)).alias("item"))
-    error = F.when(F.col("item").isNull(), F.lit(S.MALFORMED_JSON))
+    strict = J.is_single_flat_object(text) & ~J.has_unknown_field(text)
+    parsed = docs.select("*", F.explode_outer(F.when(strict, J.decode_items(text))).alias("item"))
+    unread = F.col("item").isNull() & ~F.coalesce(J.is_null_document(text), F.lit(False))
+    error = F.when(unread, F.lit(S.MALFORMED_JSON))
     return _flatten(parsed.withColumn("error", error), docs.columns).drop("value", "delta")
