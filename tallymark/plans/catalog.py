@@ -380,11 +380,11 @@ def _arrivals(rows: DataFrame, label: str) -> str:
 
 @registered
 def stream_fold(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = _valid(spark, sf_dir).select("seq", *STATE_COLUMNS)
+    rows = _valid(spark, sf_dir).select("seq", "ts", *STATE_COLUMNS)
     folder, target = _arrivals(rows, "arrivals"), shared_dir(spark, "fold")
     stream = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(folder)
     jobs.run_fold(stream, target, state_partitions=spark.sparkContext.defaultParallelism).awaitTermination()
-    return jobs.read_fold(spark, target)
+    return jobs.read_fold(spark, target).select(*STATE_COLUMNS)
 
 
 def _upserted(spark: SparkSession, sf_dir: str, snapshot: str | None = None) -> str:

@@ -33,10 +33,8 @@ class Versions:
         found = fs.globStatus(pattern) or []
         return sorted(int(s.getPath().getParent().getName().partition("=")[2]) for s in found)
 
-    def write(self, rows: DataFrame, version: int, partition_by: tuple[str, ...] = (), **options: str) -> None:
-        rows.write.mode("overwrite").options(**options).format(self.fmt).save(
-            self.path(version), partitionBy=list(partition_by) or None
-        )
+    def write(self, rows: DataFrame, version: int, partition_by: tuple[str, ...] = ()) -> None:
+        rows.write.mode("overwrite").format(self.fmt).save(self.path(version), partitionBy=list(partition_by) or None)
 
     def read(self, versions: list[int]) -> DataFrame:
         """Rows of these versions, with their number in the column ``version``."""
@@ -45,3 +43,9 @@ class Versions:
             return self.spark.createDataFrame([], schema)
         reader = self.spark.read.schema(schema).option("basePath", self.root).format(self.fmt)
         return reader.load([self.path(v) for v in versions]).select(*schema.names)
+
+    def delete_before(self, version: int) -> None:
+        fs, _ = file_system(self.spark, self.root)
+        for old in self.complete():
+            if old < version:
+                fs.delete(self.spark._jvm.org.apache.hadoop.fs.Path(self.path(old)), True)

@@ -8,13 +8,10 @@ from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from tallymark import schema as S
 from tallymark.operators.fold import fold_state, pack_order
 from tallymark.operators.validate import valid
-from tallymark.sources.files import Versions
 from tallymark.sources.snapshots import load_snapshot, save_snapshot
 from tallymark.sources.updates import decode_batches
 from tallymark.streaming.store import StateStore
@@ -42,39 +39,39 @@ def _trigger(interval: str | None) -> dict:
     return {"availableNow": True} if interval is None else {"processingTime": interval}
 
 
-def run_fold(updates: DataFrame, target: str, interval: str | None = None, state_partitions: int | None = None) -> StreamingQuery:
+def run_fold(
+    updates: DataFrame, target: str, interval: str | None = None, state_partitions: int | None = None, ts: str = "ts"
+) -> StreamingQuery:
     """Fold a stream of valid updates into ever-growing state.
 
-    Each micro-batch writes the keys it changed to ``<target>/changes``; ``read_fold`` gives their
-    newest rows. The state lives in RocksDB, outside the JVM heap. ``interval=None`` stops when the
-    input is used up. ``state_partitions`` is fixed at the first start of a target.
+    The state lives in RocksDB, outside the JVM heap; each micro-batch stores the keys it changed
+    below ``target``, where ``read_fold`` finds the whole. ``interval=None`` stops when the input
+    is used up. ``state_partitions`` is fixed at the first start of a target.
     """
     spark = updates.sparkSession
-    changes = _fold_changes(spark, target)
+    store = _fold_store(spark, target)
+    timed = updates.withColumn(ts, F.col(ts).cast("timestamp_ntz"))
     settings = {"spark.sql.streaming.stateStore.providerClass": ROCKSDB}
     if state_partitions:
         settings["spark.sql.shuffle.partitions"] = str(state_partitions)
     writer = (
-        fold_state(updates)
+        fold_state(timed, ts=ts)
         .writeStream.outputMode("update")
-        .option("checkpointLocation", f"{target}/checkpoint")
+        .option("checkpointLocation", f"{target.rstrip('/')}/checkpoint")
         .trigger(**_trigger(interval))
-        .foreachBatch(lambda rows, epoch: changes.write(rows, epoch))
+        .foreachBatch(lambda rows, epoch: store.put(rows, epoch))
     )
     with _settings(spark, settings):
         return writer.start()
 
 
-def _fold_changes(spark: SparkSession, target: str) -> Versions:
-    return Versions(spark, f"{target.rstrip('/')}/changes", T.StructType(S.STATE.fields[:4]))
+def _fold_store(spark: SparkSession, target: str) -> StateStore:
+    return StateStore(spark, f"{target.rstrip('/')}/state", add=False)
 
 
 def read_fold(spark: SparkSession, target: str) -> DataFrame:
-    """Newest state a fold stream has written."""
-    changes = _fold_changes(spark, target)
-    return changes.read(changes.complete()).groupBy(*S.KEY).agg(
-        F.max_by("value", "version").alias("value"), F.max_by("delta", "version").alias("delta")
-    )
+    """State a fold stream has written so far."""
+    return _fold_store(spark, target).read()
 
 
 def run_upsert(
@@ -95,7 +92,7 @@ def run_upsert(
     """
     spark = docs.sparkSession
     store = open_store(spark, target)
-    if snapshot and restore and store.applied() < 0 and not store.full.complete():
+    if snapshot and restore and store.is_new():
         store.restore(load_snapshot(spark, snapshot), F.current_timestamp().cast("timestamp_ntz"))
 
     def apply(batch: DataFrame, epoch: int) -> None:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallymark import schema as S
@@ -11,20 +11,24 @@ from tallymark.sources.files import Versions
 
 
 class StateStore:
-    """State as full versions plus the folded deltas of the epochs after them.
+    """State as full versions plus the folded rows of the epochs after them.
 
-    An epoch writes only its own folded updates, so its cost follows the micro-batch and not the
+    An epoch writes only its own folded rows, so its cost follows the micro-batch and not the
     state; every ``compact_every`` epochs one fold writes a new full version. An epoch that was
     applied before is skipped, which makes replays harmless. Readers fold the newest full version
-    with the deltas after it; conditions on type and name reach the scans.
+    with the epochs after it; conditions on type and name reach the scans.
+
+    Counters of an epoch are added to the state, or with ``add=False`` replace it (for epochs that
+    bring running totals). One writer at a time.
     """
 
-    def __init__(self, spark: SparkSession, root: str, compact_every: int = 20, overflow: str = "error"):
+    def __init__(self, spark: SparkSession, root: str, compact_every: int = 20, overflow: str = "error", add: bool = True):
         root = root.rstrip("/")
         self.full = Versions(spark, f"{root}/full", S.STATE)
         self.deltas = Versions(spark, f"{root}/delta", S.STATE)
         self.compact_every = compact_every
         self.overflow = overflow
+        self.add = add
 
     def _layout(self) -> tuple[list[int], list[int]]:
         full = self.full.complete()[-1:]
@@ -35,25 +39,32 @@ class StateStore:
         full, deltas = self._layout()
         return max(full + deltas, default=-1)
 
+    def is_new(self) -> bool:
+        return self._layout() == ([], [])
+
     def read(self) -> DataFrame:
         full, deltas = self._layout()
         state = self.full.read(full)
         return state.drop("version") if not deltas else self._fold(state.unionByName(self.deltas.read(deltas)))
 
     def _fold(self, rows: DataFrame) -> DataFrame:
+        total = add_deltas(F.col("delta"), self.overflow) if self.add else F.max_by("delta", "version")
         return rows.groupBy(*S.KEY).agg(
             F.max_by("value", "version").alias("value"),
-            add_deltas(F.col("delta"), self.overflow).alias("delta"),
+            total.alias("delta"),
             F.min("created_at").alias("created_at"),
             F.max("updated_at").alias("updated_at"),
         )
 
     def apply(self, updates: DataFrame, epoch: int, order: str = "seq", ts: str = "ts") -> bool:
-        """Apply the valid updates of one epoch; False when it was applied before."""
+        """Fold and apply the valid updates of one epoch; False when it was applied before."""
+        timed = updates.withColumn(ts, F.col(ts).cast("timestamp_ntz"))
+        return self.put(fold_state(timed, order, self.overflow, ts), epoch)
+
+    def put(self, folded: DataFrame, epoch: int) -> bool:
+        """Apply rows that are folded already, one per key."""
         if epoch <= self.applied():
             return False
-        timed = updates.withColumn(ts, F.col(ts).cast("timestamp_ntz"))
-        folded = fold_state(timed, order, self.overflow, ts)
         self._write(self.deltas, folded, epoch)
         if len(self._layout()[1]) >= self.compact_every:
             self.compact()
@@ -64,9 +75,16 @@ class StateStore:
         if epoch >= 0:
             self._write(self.full, self.read(), epoch)
 
-    def restore(self, snapshot: DataFrame, ts) -> None:
-        """Make a loaded snapshot the first version; only before any epoch was applied."""
-        if self.applied() >= 0:
+    def expire(self, keep: int = 2) -> None:
+        """Delete what lies before the newest ``keep`` full versions."""
+        kept = self.full.complete()[-keep:]
+        if kept:
+            self.full.delete_before(kept[0])
+            self.deltas.delete_before(kept[0] + 1)
+
+    def restore(self, snapshot: DataFrame, ts: Column) -> None:
+        """Make a loaded snapshot the first version of a new store."""
+        if not self.is_new():
             raise RuntimeError("restore needs an empty store")
         rows = snapshot.groupBy("type", F.col("id").alias("name")).agg(
             F.max_by("value", "pos").alias("value"), F.max_by("delta", "pos").alias("delta")
@@ -75,7 +93,6 @@ class StateStore:
 
     @staticmethod
     def _write(versions: Versions, rows: DataFrame, number: int) -> None:
-        # A folder per kind prunes scans of one kind; sorted names and their bloom filter let a
-        # point lookup skip row groups.
-        sorted_rows = rows.sortWithinPartitions(*S.KEY)
-        versions.write(sorted_rows, number, ("type",), **{"parquet.bloom.filter.enabled#name": "true"})
+        # A folder per kind prunes scans of one kind; sorted names let the min/max statistics of
+        # row groups and pages prune a point lookup.
+        versions.write(rows.sortWithinPartitions(*S.KEY), number, ("type",))

@@ -38,6 +38,9 @@ def test_store_applies_epochs_once(spark, log, tmp_path):
     store.compact()
     assert store.full.complete()[-1] == 4
     assert state_of(store.read()) == state_of(tm.fold_state(log))
+    store.expire(keep=1)
+    assert store.full.complete() == [4] and store.deltas.complete() == []
+    assert state_of(store.read()) == state_of(tm.fold_state(log))
     times = store.read().agg(F.min("created_at"), F.max("updated_at")).first()
     assert times == log.agg(F.min("ts"), F.max("ts")).first()
 
