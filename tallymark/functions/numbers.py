@@ -26,6 +26,8 @@ _NOT_A_NUMBER = "nan"
 _UNSURE_DIGITS = 16
 _SMALLEST_NORMAL = 2.2250738585072014e-308
 _EXACT_INTEGERS = float(2**53)
+# Double.toString writes numbers from the first to below the second without an exponent.
+_PLAIN_FROM, _PLAIN_TO = 1e-3, 1e7
 
 _INF = float("inf")
 
@@ -71,20 +73,23 @@ def format_int(v: Column) -> Column:
     return v.cast("string")
 
 
+def _exact(v: Column) -> Column:
+    """Shortest text by Jackson's exact writer, which every Spark installation ships."""
+    return F.java_method(
+        F.lit("com.fasterxml.jackson.core.io.NumberOutput"), F.lit("toString"), v, F.lit(True)
+    )
+
+
 def _shortest(v: Column) -> Column:
     """Shortest text that reads back as ``v``, in the JVM's plain-or-E notation.
 
     A text of up to 15 digits is always the shortest for a normal number. For the others the JVM
-    releases before 19 may print one digit too many, so those go to Jackson's exact writer, which
-    every Spark installation ships.
+    releases before 19 may print one digit too many.
     """
     text = v.cast("string")
     digits = F.length(F.translate(F.substring_index(text, "E", 1), "-.", ""))
     unsure = (digits >= _UNSURE_DIGITS) | (F.abs(v) < F.lit(_SMALLEST_NORMAL))
-    exact = F.java_method(
-        F.lit("com.fasterxml.jackson.core.io.NumberOutput"), F.lit("toString"), v, F.lit(True)
-    )
-    return F.when(unsure, exact).otherwise(text)
+    return F.when(unsure, _exact(v)).otherwise(text)
 
 
 def _spread(text: Column) -> Column:
@@ -119,6 +124,9 @@ def format_float(v: Column) -> Column:
     """Shortest round-trip digits of a DOUBLE, never with an exponent or a trailing ``.0``."""
     integer = (F.abs(v) <= F.lit(_EXACT_INTEGERS)) & (v == F.floor(v).cast("double"))
     tiny = F.abs(v) < F.lit(_SMALLEST_NORMAL)
+    # The point is one of the characters, so a text of that length has a digit less.
+    text = v.cast("string")
+    plain = F.when(F.length(text) <= _UNSURE_DIGITS, text).otherwise(_exact(v))
     # A one-element array binds the text once for the many uses below; only E notation gets here.
     spread = F.transform(
         F.array(_shortest(v)),
@@ -128,8 +136,9 @@ def format_float(v: Column) -> Column:
         F.when(F.isnan(v), F.lit("NaN"))
         .when(v == F.lit(_INF), F.lit("+Inf"))
         .when(v == F.lit(-_INF), F.lit("-Inf"))
-        .when((v == 0) & v.cast("string").startswith("-"), F.lit("-0"))
+        .when((v == 0) & text.startswith("-"), F.lit("-0"))
         .when(integer, v.try_cast("bigint").cast("string"))
+        .when((F.abs(v) >= F.lit(_PLAIN_FROM)) & (F.abs(v) < F.lit(_PLAIN_TO)), plain)
         .when(v.isNotNull(), spread)
     )
 

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tallymark import schema as S
 from tallymark.functions.numbers import format_float, format_int, parse_float, parse_int
+from tallymark.functions.stage import computed_once
 from tallymark.operators import fold, ids, merge, quality, query, report, validate
 from tallymark.plans import views
 from tallymark.session import shared_dir
@@ -160,13 +161,20 @@ def scalar_parse_format(spark: SparkSession, sf_dir: str) -> DataFrame:
         "CAST(l_discount / 100 AS STRING) AS small_text",
         "CAST(l_orderkey AS STRING) AS int_text",
     )
-    return texts.select(
-        parse_float(F.col("number_text")).alias("number"),
-        format_float(parse_float(F.col("number_text"))).alias("number_shown"),
-        format_float(parse_float(F.col("small_text"))).alias("small_shown"),
-        parse_int(F.col("int_text")).alias("int"),
-        parse_int(F.col("number_text")).alias("int_of_number"),
-        format_int(-parse_int(F.col("int_text"))).alias("int_shown"),
+    parsed = computed_once(
+        texts,
+        number=parse_float(F.col("number_text")),
+        small=parse_float(F.col("small_text")),
+        int=parse_int(F.col("int_text")),
+        int_of_number=parse_int(F.col("number_text")),
+    )
+    return parsed.select(
+        "number",
+        format_float(F.col("number")).alias("number_shown"),
+        format_float(F.col("small")).alias("small_shown"),
+        "int",
+        "int_of_number",
+        format_int(-F.col("int")).alias("int_shown"),
     )
 
 
