@@ -80,6 +80,12 @@ def _exact(v: Column) -> Column:
     )
 
 
+def _digits(text: Column) -> Column:
+    """Digits of the mantissa. Two replacements are much faster than one ``translate``."""
+    mantissa = F.substring_index(text, "E", 1)
+    return F.replace(F.replace(mantissa, F.lit("-"), F.lit("")), F.lit("."), F.lit(""))
+
+
 def _shortest(v: Column) -> Column:
     """Shortest text that reads back as ``v``, in the JVM's plain-or-E notation.
 
@@ -87,7 +93,7 @@ def _shortest(v: Column) -> Column:
     releases before 19 may print one digit too many.
     """
     text = v.cast("string")
-    digits = F.length(F.translate(F.substring_index(text, "E", 1), "-.", ""))
+    digits = F.length(_digits(text))
     unsure = (digits >= _UNSURE_DIGITS) | (F.abs(v) < F.lit(_SMALLEST_NORMAL))
     return F.when(unsure, _exact(v)).otherwise(text)
 
@@ -95,7 +101,10 @@ def _shortest(v: Column) -> Column:
 def _spread(text: Column) -> Column:
     """``-1.25E-7`` as ``-0.000000125``: the digits of an E-notation text, written out."""
     sign = F.when(text.startswith("-"), F.lit("-")).otherwise(F.lit(""))
-    digits = F.rtrim(F.translate(F.substring_index(text, "E", 1), "-.", ""), F.lit("0"))
+    mantissa = F.substring_index(text, "E", 1)
+    # The only trailing zero of such a text is the one of ``.0``.
+    whole_digit = F.replace(F.substring_index(mantissa, ".", 1), F.lit("-"), F.lit(""))
+    digits = F.when(mantissa.endswith(".0"), whole_digit).otherwise(_digits(text))
     exponent = F.substring_index(text, "E", -1).cast("int")
     whole = exponent + 1
     large = F.when(
@@ -117,7 +126,7 @@ def _one_digit(v: Column, text: Column) -> Column:
         F.replace(F.substring_index(short, "E", 1), F.lit("10"), F.lit("1")),
         F.lit("E"), (F.substring_index(short, "E", -1).cast("int") + 1).cast("string"),
     )).otherwise(short)
-    return F.when((F.length(F.translate(mantissa, "-.", "")) == 2) & (value == v), normal).otherwise(text)
+    return F.when((F.length(_digits(text)) == 2) & (value == v), normal).otherwise(text)
 
 
 def format_float(v: Column) -> Column:
