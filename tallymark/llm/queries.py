@@ -4,11 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tallymark.llm import packing
 from tallymark.llm import quality as quality_rules
 from tallymark.llm import secrets as secret_scans
+from tallymark.llm import simhash
 from tallymark.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -47,3 +50,17 @@ def op6_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(secret_scans.listing(base), 256).alias("base_sha256"),
         secret_scans.listing(spans).alias("spans"),
     )
+
+
+@registered
+def op3_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = simhash.near_duplicates(documents, shingle=3, radius=2)
+    return found.select("doc_id", simhash.hexadecimal(F.col("fp")).alias("fingerprint"), "component_id")
+
+
+@registered
+def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
+    pieces = packing.pack(documents, public_tokenizers.path("word_bpe_49k.json"), length=2048)
+    return pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
