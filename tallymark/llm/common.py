@@ -47,20 +47,22 @@ def _batch(made: Lists, schema: pa.Schema, before: list[pa.Array] = ()) -> pa.Re
     return pa.RecordBatch.from_arrays([*before, *fresh], schema=schema)
 
 
-def add_columns(df: DataFrame, needs: list[str], fn: Callable[[Lists], Lists], added: str) -> DataFrame:
+def add_columns(df: DataFrame, needs: list[str], fn: Callable[[Lists], Lists], added: str, drop: tuple[str, ...] = (), per_task: bool = False) -> DataFrame:
     """``df`` with the columns ``added`` (DDL), which ``fn`` makes from the columns it ``needs``, batch by batch.
 
-    Input columns named like an added one are replaced. The others pass through as they are.
+    Input columns named like an added one are replaced, those in ``drop`` left out. The others pass through.
+    With ``per_task``, ``fn`` is called without arguments where a partition starts and returns the function to apply.
     """
     fresh = T.StructType.fromDDL(added)
-    kept = [f for f in df.schema if f.name not in fresh.names]
+    kept = [f for f in df.schema if f.name not in fresh.names and f.name not in drop]
     out = T.StructType([*kept, *fresh])
     arrow = to_arrow_schema(out)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        apply = fn() if per_task else fn
         for batch in batches:
             before = [batch.column(batch.schema.get_field_index(f.name)).cast(arrow.field(i).type) for i, f in enumerate(kept)]
-            yield _batch(fn(_lists(batch, needs)), arrow, before)
+            yield _batch(apply(_lists(batch, needs)), arrow, before)
 
     return df.mapInArrow(run, out)
 
