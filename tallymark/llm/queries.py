@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallymark.llm import mixing, packing
+from tallymark.llm import fingerprints, mixing, packing
 from tallymark.llm import quality as quality_rules
 from tallymark.llm import secrets as secret_scans
 from tallymark.llm import simhash
@@ -70,3 +70,8 @@ def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
     return mixing.taken(mixing.mix(documents, mixing.cycle((5, 2, 1)), most=3.0))
+
+
+@registered
+def op5_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.fingerprints(table(spark, sf_dir, "documents").select("doc_id", "text"))
