@@ -4,12 +4,16 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tallymark.llm import mixing
 from tallymark.llm.common import table, written
+from tallymark.llm.packing import pack
 from tallymark.llm.quality import quality
 from tallymark.llm.secrets import redact
+from tallymark.llm.simhash import keep_one
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
@@ -21,14 +25,34 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return quality(docs).where("kept").select(*COLUMNS)
 
 
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near-duplicates: three-word shingles, at most two differing bits."""
+    return keep_one(docs.select(*COLUMNS), shingle=3, radius=2)
+
+
 def secret_scans(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, with a mark in place of each secret."""
     return redact(docs.select(*COLUMNS)).withColumn("n_chars", F.length("text").cast("long")).select(*COLUMNS)
 
 
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The mix to target weights: each drawn block's pieces of documents, as often as they are drawn."""
+    drawn = mixing.mix(docs, mixing.cycle((5, 2, 1)), most=3.0, block=256, carry=("text", "lang"))
+    pieces = mixing.mixed_text(drawn)
+    return pieces.select("doc_id", F.col("body").alias("text"), "lang", "source", F.length("body").cast("long").alias("n_chars"))
+
+
+def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of token sequences, with the token ids."""
+    return pack(docs, public_tokenizers.path("word_bpe_49k.json"), length=2048)
+
+
 STAGES: list[tuple[str, Stage]] = [
     ("quality rules", quality_rules),
+    ("near dedup", near_dedup),
     ("secret scans", secret_scans),
+    ("mixing", mix_sources),
+    ("packing", packing),
 ]
 
 #: Compressors, hashes and draws have no SQL form; the stages are tested against brute force instead.
