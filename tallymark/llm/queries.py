@@ -8,10 +8,10 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallymark.llm import fingerprints, mixing, packing
+from tallymark.llm import chat, fingerprints, mixing, packing
 from tallymark.llm import quality as quality_rules
 from tallymark.llm import secrets as secret_scans
-from tallymark.llm import simhash
+from tallymark.llm import simhash, token_counts
 from tallymark.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -75,3 +75,15 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 @registered
 def op5_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.fingerprints(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+@registered
+def op2_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat.repair(table(spark, sf_dir, "conversations"))
+
+
+@registered
+def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
+    scores = token_counts.zipf_scores(public_tokenizers.path("piece_bpe_32k.model"))
+    return token_counts.token_counts(documents, scores).drop("text")
