@@ -8,15 +8,16 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallymark.llm import chat, fingerprints, mixing, packing
+from tallymark.llm import chat, fingerprints, licenses, mixing, packing
 from tallymark.llm import quality as quality_rules
 from tallymark.llm import secrets as secret_scans
-from tallymark.llm import simhash, token_counts
+from tallymark.llm import simhash, token_counts, urls
 from tallymark.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 _QUERIES: dict[str, Query] = {}
+_ORACLES: dict[str, str] = {}
 
 
 def registered(fn: Query) -> Query:
@@ -29,7 +30,7 @@ def queries() -> dict[str, Query]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return dict(_ORACLES)
 
 
 @registered
@@ -87,3 +88,57 @@ def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents").select("doc_id", "text")
     scores = token_counts.zipf_scores(public_tokenizers.path("piece_bpe_32k.model"))
     return token_counts.token_counts(documents, scores).drop("text")
+
+
+#: Fetch days, and entries of a dated list, made from the table itself.
+_PAGES = "SELECT page_id, url, (page_id * 37) % 400 AS fetched FROM pages"
+_HOSTS = """
+SELECT host, min(page_id) AS m, CASE WHEN regexp_extract(host, '^[^.]*[.](.*[.].*[.].*)$', 1) = '' THEN host
+  ELSE regexp_extract(host, '^[^.]*[.](.*[.].*[.].*)$', 1) END AS domain
+FROM (SELECT page_id, lower(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/:?#]*)', 1)) AS host FROM pages) p
+WHERE host <> '' GROUP BY host
+"""
+_ENTRIES = """
+SELECT 'host' AS kind, host AS pattern, m % 300 AS changed, 'add' AS action FROM hosts WHERE m % 4 = 1
+UNION ALL SELECT 'host', host, m % 300 + 30 + m % 60, 'remove' FROM hosts WHERE m % 4 = 1
+UNION ALL SELECT 'host', host, m % 300 + 120, 'add' FROM hosts WHERE m % 8 = 1
+UNION ALL SELECT 'domain', domain, m % 200, 'add' FROM hosts WHERE m % 5 = 2
+UNION ALL SELECT 'domain', domain, m % 200 + 90, 'remove' FROM hosts WHERE m % 5 = 2
+UNION ALL SELECT 'prefix', concat(host, '/en'), m % 350, 'add' FROM hosts WHERE m % 3 = 0
+"""
+
+
+@registered
+def op8_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    table(spark, sf_dir, "pages").select("page_id", "url").createOrReplaceTempView("pages")
+    captures = spark.sql(_PAGES)
+    entries = spark.sql(f"WITH hosts AS ({_HOSTS}) {_ENTRIES}")
+    return urls.filter_urls(captures, entries, bucket=64, at="fetched")
+
+
+_ORACLES["op8_url_filters"] = f"""
+WITH hosts AS ({_HOSTS}), entries AS ({_ENTRIES}), captures AS ({_PAGES}),
+once AS (SELECT kind, pattern, changed, max(action) AS action FROM entries GROUP BY kind, pattern, changed),
+changes AS (SELECT * FROM (SELECT *, coalesce(lag(action) OVER (PARTITION BY kind, pattern ORDER BY changed), 'remove') AS was FROM once) t
+  WHERE action <> was),
+spans AS (SELECT * FROM (SELECT kind, pattern, action, changed AS since, lead(changed) OVER (PARTITION BY kind, pattern ORDER BY changed) AS until FROM changes) t
+  WHERE action = 'add'),
+asked AS (SELECT *, lower(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/:?#]*)', 1)) AS host,
+  regexp_extract(url, '^[^:]*://[^/?#]*(/[^?#]*)', 1) AS path FROM captures),
+hits AS (SELECT page_id, min(row(CASE s.kind WHEN 'host' THEN 1 WHEN 'domain' THEN 2 ELSE 3 END, s.pattern, s.kind, s.since)) AS hit
+  FROM asked a JOIN spans s ON s.since <= a.fetched AND (s.until IS NULL OR a.fetched < s.until) AND (
+    s.kind = 'host' AND a.host = s.pattern
+    OR s.kind = 'domain' AND (a.host = s.pattern OR suffix(a.host, '.' || s.pattern))
+    OR s.kind = 'prefix' AND (a.host || a.path = s.pattern OR starts_with(a.host || a.path, s.pattern || '/')))
+  GROUP BY page_id)
+SELECT c.page_id, c.url, c.fetched, hit IS NOT NULL AS blocked, hit[3] AS kind, hit[2] AS pattern, hit[4] AS since
+FROM captures c LEFT JOIN hits USING (page_id)
+"""
+
+
+@registered
+def op9_license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
+    place = lambda x: F.concat_ws(":", x["name"], x["start"], x["end"])
+    found = licenses.scan(documents)
+    return found.select("doc_id", *licenses.best(), F.array_join(F.transform("licenses", place), ",").alias("places"))
