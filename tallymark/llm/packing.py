@@ -78,6 +78,7 @@ class Schedule:
     def __init__(self, totals: list[int], weights: list[int], window: int):
         self.window, self.totals = window, list(totals)
         self.tables: dict[tuple[int, ...], np.ndarray] = {}
+        self.columns: dict[tuple, tuple[np.ndarray, np.ndarray]] = {}
         self.segments: list[Segment] = []
         before, first = [0] * len(totals), 0
         while any(b < t for b, t in zip(before, totals, strict=True)):
@@ -122,32 +123,33 @@ class Schedule:
             room = min(self.window, sum(left)) - sum(give)
         return tuple(give)
 
-    def edges(self, segment: Segment, k: int) -> np.ndarray:
-        """Tokens of each queue before window k of a segment."""
-        base = np.array(segment.before, np.int64)
-        if segment.once is not None:
-            return base + (np.array(segment.once, np.int64) if k else 0)
-        return base + self._given(segment.weights, k)
-
-    def pieces(self, queue: int, start: int, length: int) -> Iterator[tuple[int, int, int, int]]:
-        """(position in the queue, tokens, window, offset in it) of the tokens start .. start + length - 1 of a queue."""
-        ends = self.ends[queue]
-        at, stop = start, start + length
-        i = bisect_right(ends, at)
-        while at < stop:
-            segment = self.segments[i]
-            if at >= ends[i]:
-                i += 1
-                continue
-            k = 0 if segment.once is not None else self._windows(segment.weights, queue, at - segment.before[queue])
-            while at < min(stop, ends[i]):
-                low, high = self.edges(segment, k), self.edges(segment, k + 1)
-                upto = min(stop, int(high[queue]))
-                if upto > at:
-                    offset = int((high - low)[:queue].sum()) + at - int(low[queue])
-                    yield at, upto - at, segment.first + k, offset
-                    at = upto
-                k += 1
+    def _column(self, segment: Segment, queue: int) -> tuple[np.ndarray, np.ndarray]:
+        """Tokens of a queue, and of all queues before it, after 0, 1, ... windows of a segment's round-robin."""
+        key = (segment.weights, segment.once, queue)
+        if key not in self.columns:
+            table = np.array([[0] * len(self.totals), segment.once]) if segment.once else self._table(segment.weights)
+            self.columns[key] = np.ascontiguousarray(table[:, queue]), table[:, :queue].sum(axis=1)
+        return self.columns[key]
+
+    def pieces(self, queue: int, start: int, length: int) -> tuple[list[int], list[int], list[int], list[int]]:
+        """Position in the queue, tokens, window and offset in it, for the pieces of the tokens from ``start`` on."""
+        ends, stop, found = self.ends[queue], start + length, []
+        for i in range(bisect_right(ends, start), len(self.segments)):
+            segment, (own, ahead) = self.segments[i], self._column(self.segments[i], queue)
+            before, period = segment.before[queue], len(own) - 1
+            low, high = max(start, before), min(stop, ends[i])
+            if low < high:
+                turns, rest = divmod(np.array([low, high - 1]) - before, own[-1])
+                first, last = turns * period + np.searchsorted(own[:period], rest, "right") - 1
+                k = np.arange(first, last + 2)
+                turns, rest = k // period, k % period
+                edges = before + turns * own[-1] + own[rest]
+                others = turns * ahead[-1] + ahead[rest]
+                at, upto = np.maximum(edges[:-1], low), np.minimum(edges[1:], high)
+                found.append((at, upto - at, segment.first + k[:-1], np.diff(others) + at - edges[:-1]))
+            if high == stop:
+                break
+        return tuple(x.tolist() for x in (np.concatenate(c) for c in zip(*found, strict=True)))
 
 
 # --- the operator
@@ -250,12 +252,18 @@ def _cut(rows: DataFrame, schedule: Schedule) -> DataFrame:
         for cols in batches:
             out: Lists = {k: [] for k in names}
             for doc, source, queue, place, n, width, ids in zip(*(cols[k] for k in ("doc_id", "source", "queue", "place", "n", "width", "ids")), strict=True):
-                wide = np.frombuffer(ids, f"<u{width}").astype("<u4")
+                wide = np.frombuffer(ids, f"<u{width}").astype("<u4").tobytes()
                 name = None if source is None else source.decode("utf-8", "replace")
-                for at, size, window, offset in schedule.pieces(queue, place, n):
-                    s = at - place
-                    for k, v in zip(names, (doc, name, s, size, n, window, offset, wide[s : s + size].tobytes()), strict=True):
-                        out[k].append(v)
+                at, size, window, offset = schedule.pieces(queue, place, n)
+                count = len(at)
+                out["doc_id"] += [doc] * count
+                out["source"] += [name] * count
+                out["start"] += [a - place for a in at]
+                out["length"] += size
+                out["doc_tokens"] += [n] * count
+                out["sequence_id"] += window
+                out["offset"] += offset
+                out["ids"] += [wide[4 * (a - place) : 4 * (a - place + x)] for a, x in zip(at, size, strict=True)]
             yield out
 
     ready = rows.select("doc_id", "source", "queue", (F.col("base") + F.col("start")).alias("place"), "n", "width", "ids")

@@ -2,42 +2,55 @@
 
 from __future__ import annotations
 
+import re
 import sys
 import types
 from collections.abc import Callable, Sequence
 
 import numpy as np
-from tokenizers import Tokenizer
+from tokenizers import Tokenizer, normalizers, pre_tokenizers
 
 #: Between words that are encoded together: a word of its own, whose token no other word can have.
 MARK = "\x01"
 WORD_END = "</w>"
+#: A stop or comma between a letter and a space is a token of its own.
+STOP = re.compile(rb"([a-z])([.,])(?=\s)")
 
 
 class WordEncoder:
-    """Ids as little-endian bytes for a tokenizer that splits at white space and drops it.
+    """Ids as little-endian bytes for a tokenizer that works in lower case, splits at white space and drops it.
 
-    The ids of a text are then those of its words, one after the other. Words are looked up raw, then as a run of
-    letters in lower case with at most one character after it; what is new is encoded many words at a time. Once
-    ``limit`` words are held, further ones are encoded batch by batch, so memory is bounded.
+    Such a tokenizer also separates letters from what is not, so the ids of a text are those of its words, one after the
+    other, even with a stop or comma behind a letter taken for a word of its own. Each new word is encoded once, together
+    with many others. Once ``limit`` words are held, further ones are encoded batch by batch, so memory is bounded.
     """
 
-    def __init__(self, path: str, limit: int = 500_000):
+    def __init__(self, path: str, limit: int = 700_000):
         self.tokenizer = Tokenizer.from_file(path)
         size = self.tokenizer.get_vocab_size(with_added_tokens=True)
         self.dtype = np.dtype("<u2" if size <= 1 << 16 else "<u4")
+        # lower-case ASCII letters are their own normal form and one word, so these steps can be left out for them
+        self.plain = Tokenizer.from_file(path)
+        self.plain.normalizer = normalizers.Sequence([])
+        self.plain.pre_tokenizer = pre_tokenizers.WhitespaceSplit()
         self.limit = limit
         self.words: dict[bytes, bytes] = {}
-        self.letters: dict[bytes, bytes] = {}
         self.ends = np.zeros(size, bool)
         for token, i in self.tokenizer.get_vocab(with_added_tokens=True).items():
             self.ends[i] = token.endswith(WORD_END)
         self.mark = self.tokenizer.encode(MARK, add_special_tokens=False).ids
+        self.special = [t.content.encode() for t in self.tokenizer.get_added_tokens_decoder().values()]
+
+    def _split(self, text: bytes) -> list[bytes]:
+        low = text.lower()  # of ASCII letters only
+        if any(x in low for x in self.special):  # names of special tokens count as they are written
+            return text.split()
+        return STOP.sub(rb"\1 \2", low).split()
 
     def texts(self, texts: Sequence[bytes]) -> list[bytes]:
-        split = [x.split() for x in texts]
+        split = [self._split(x) for x in texts]
         known, fresh = self.words, {}
-        new = set().union(*split).difference(known) if split else set()
+        new = set().union(*split).difference(known)
         if new:
             fresh = self._encode(new)
             if len(known) + len(fresh) <= self.limit:
@@ -48,32 +61,21 @@ class WordEncoder:
         return [b"".join([known.get(w) or fresh[w] for w in words]) for words in split]
 
     def _encode(self, words: set[bytes]) -> dict[bytes, bytes]:
-        keys = {w: self._letters(w) for w in words}
-        known = self.letters if len(self.letters) <= self.limit else {}
-        plain = {k[0] for k in keys.values() if k}
-        last = {k[1] for k in keys.values() if k and k[1]}
-        known.update(self._many([x for x in plain if x not in known]))
-        known.update(self._marked([x for x in last if x not in known]))
-        odd = self._marked([w for w, k in keys.items() if not k])
-        return {w: (known[k[0]] + (known[k[1]] if k[1] else b"")) if k else odd[w] for w, k in keys.items()}
-
-    @staticmethod
-    def _letters(word: bytes) -> tuple[bytes, bytes] | None:
-        """A run of letters and at most one more character, in ASCII: each is a word to the tokenizer."""
-        if word.isalpha():
-            return word.lower(), b""
-        if word[:-1].isalpha() and word[-1] < 128:
-            return word[:-1].lower(), word[-1:]
-        return None
-
-    def _many(self, words: list[bytes], step: int = 2000) -> dict[bytes, bytes]:
+        plain = [w for w in words if w.isalpha() and w.islower()]
+        others = words.difference(plain)
+        letters = [w for w in others if w.decode("utf-8", "replace").isalpha()]
+        odd = others.difference(letters)
+        return self._letters(plain, self.plain) | self._letters(letters, self.tokenizer) | self._marked(list(odd))
+
+    def _letters(self, words: list[bytes], tokenizer: Tokenizer, step: int = 2000) -> dict[bytes, bytes]:
         """Ids of words that are one run of letters: the last token of each, and no other, ends a word."""
         out = {}
         for at in range(0, len(words), step):
             part = words[at : at + step]
-            ids = self._ids(b" ".join(part).decode())
+            asked = [w.decode("utf-8", "replace") for w in part]
+            ids = np.array(tokenizer.encode_batch_fast([asked], is_pretokenized=True, add_special_tokens=False)[0].ids, np.int64)
             stops = np.flatnonzero(self.ends[ids]) + 1
-            if len(stops) != len(part):
+            if len(stops) != len(part):  # a letter whose normal form is more than one
                 out |= self._marked(part)
                 continue
             raw, width = ids.astype(self.dtype).tobytes(), self.dtype.itemsize
