@@ -21,8 +21,10 @@ CELLS = 24
 WIDTH = 512
 #: Peeling ends after so many rounds; a sketch that is not open then counts as failed.
 ROUNDS = 12
-#: Cells per paragraph of both texts in each retry.
-GROWTH = (1.5, 3.0, 6.0)
+#: Retries deal the digests by hash into groups of about this many, with a sketch each, so that their cost grows in
+#: proportion to the text; the cells of a group's sketch in each retry.
+GROUP = 20
+RETRIES = (54, 108, 216)
 MOST_BUCKETS = 4096
 
 
@@ -59,8 +61,10 @@ def _cell(key: Column, row: int, size: Column) -> Column:
 
 def sketch(keys: Column, cells: Column) -> Column:
     """count and key of every cell; ``cells`` is rounded up to whole rows."""
-    size = _row(cells)
+    return let(_row(cells), lambda size: _sketch(keys, size))
 
+
+def _sketch(keys: Column, size: Column) -> Column:
     def row(r: int) -> Column:
         placed = F.transform(keys, lambda k: F.struct(_cell(k, r, size).alias("at"), k.alias("key")))
 
@@ -94,8 +98,11 @@ def subtract(a: Column, b: Column) -> Column:
 
 def peel(difference: Column) -> Column:
     """open, left, right: whether every cell came out empty, and the digests of the first and the second text only."""
+    return let(difference, lambda cells: let((F.size(cells) / ROWS).cast("long"), lambda size: _peel(cells, size)))
+
+
+def _peel(difference: Column, size: Column) -> Column:
     empty = F.array().cast("array<bigint>")
-    size = (F.size(difference) / ROWS).cast("long")
 
     def pure(cells: Column) -> Column:
         """Digests that lie alone in a cell, with their count and cells."""
@@ -140,14 +147,21 @@ def differing(a: Column, b: Column, cells: int = CELLS) -> Column:
     If even the largest sketch fails, which takes digests that share all cells, the arrays themselves are compared.
     """
 
-    def attempt(size: Column) -> Column:
-        peeled = peel(subtract(sketch(a, size), sketch(b, size)))
-        return let(peeled, lambda p: F.when(p["open"], F.struct(p["left"].alias("left"), p["right"].alias("right"))))
+    def opened(x: Column, y: Column, size: int) -> Column:
+        return peel(subtract(sketch(x, F.lit(size)), sketch(y, F.lit(size))))
+
+    def in_groups(size: int, groups: Column) -> Column:
+        own = lambda keys, g: F.filter(keys, lambda k: F.pmod(F.xxhash64(k, F.lit(ROWS)), groups) == g)
+        parts = F.transform(F.sequence(F.lit(0), groups - 1), lambda g: let(own(a, g), lambda x: let(own(b, g), lambda y: opened(x, y, size))))
+        side = lambda ps, name: F.flatten(F.transform(ps, lambda p: p[name]))
+        whole = lambda ps: F.struct(F.forall(ps, lambda p: p["open"]).alias("open"), side(ps, "left").alias("left"), side(ps, "right").alias("right"))
+        return let(parts, whole)
 
-    both = F.size(a) + F.size(b)
-    tries = [attempt(F.lit(cells))] + [attempt(both * x + cells) for x in GROWTH]
+    groups = F.ceil((F.size(a) + F.size(b) + 1) / GROUP).cast("long")
+    tries = [opened(a, b, cells)] + [let(groups, lambda g, size=size: in_groups(size, g)) for size in RETRIES]
+    found = [let(t, lambda p: F.when(p["open"], F.struct(p["left"].alias("left"), p["right"].alias("right")))) for t in tries]
     exact = F.struct(F.array_except(a, b).alias("left"), F.array_except(b, a).alias("right"))
-    return F.coalesce(*tries, exact)
+    return F.coalesce(*found, exact)
 
 
 def likeness(a: Column, b: Column, cells: int = CELLS) -> Column:
