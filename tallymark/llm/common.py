@@ -12,6 +12,8 @@ from pyspark.sql.pandas.types import to_arrow_schema
 
 from tallymark.session import shared_dir
 
+#: Rows that Python functions see at a time, so that lists of long texts stay small.
+SLICE = 1024
 #: The white space that separates words; other Unicode spaces belong to words.
 SPACES = b" \t\n\r\x0b\x0c"
 
@@ -47,6 +49,12 @@ def _batch(made: Lists, schema: pa.Schema, before: list[pa.Array] = ()) -> pa.Re
     return pa.RecordBatch.from_arrays([*before, *fresh], schema=schema)
 
 
+def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for at in range(0, batch.num_rows, SLICE):
+            yield batch.slice(at, SLICE)
+
+
 def add_columns(df: DataFrame, needs: list[str], fn: Callable[[Lists], Lists], added: str, drop: tuple[str, ...] = (), per_task: bool = False) -> DataFrame:
     """``df`` with the columns ``added`` (DDL), which ``fn`` makes from the columns it ``needs``, batch by batch.
 
@@ -60,7 +68,7 @@ def add_columns(df: DataFrame, needs: list[str], fn: Callable[[Lists], Lists], a
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         apply = fn() if per_task else fn
-        for batch in batches:
+        for batch in _slices(batches):
             before = [batch.column(batch.schema.get_field_index(f.name)).cast(arrow.field(i).type) for i, f in enumerate(kept)]
             yield _batch(apply(_lists(batch, needs)), arrow, before)
 
@@ -73,7 +81,7 @@ def flat_map(df: DataFrame, fn: Callable[[Iterator[Lists]], Iterator[Lists]], sc
     arrow = to_arrow_schema(out)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for made in fn(_lists(batch, batch.schema.names) for batch in batches):
+        for made in fn(_lists(batch, batch.schema.names) for batch in _slices(batches)):
             yield _batch(made, arrow)
 
     return df.mapInArrow(run, out)

@@ -230,7 +230,8 @@ def mix(
     plan = Plan(tuple(slots), tuple(blocks), shard, seed)
     rows = [(x, i, n, t, b) for i, (x, n, t, b) in enumerate(zip(names, sizes, goal, blocks, strict=True))]
     sources = spark.createDataFrame(rows, "source string, source_index int, source_size long, target double, blocks long")
-    return Mix(placed(stored, "source", "size", "bases"), sources, _slots(spark, plan), block)
+    slots_table = written(_slots(spark, plan), "slots")  # of unknown size until it is written
+    return Mix(placed(stored, "source", "size", "bases"), sources, slots_table, block)
 
 
 def _slots(spark, plan: Plan) -> DataFrame:
@@ -292,4 +293,6 @@ def mixed_text(mix: Mix) -> DataFrame:
                         out[k].append(v)
             yield out
 
-    return flat_map(placed, run, ddl).join(mix.slots, ["source_index", "block"]).drop("place", "source_index", "size")
+    # the slots grow with the mix, so they are never sent whole
+    slots = mix.slots.hint("merge")
+    return flat_map(placed, run, ddl).join(slots, ["source_index", "block"]).drop("place", "source_index", "size")

@@ -146,7 +146,9 @@ class Schedule:
                 edges = before + turns * own[-1] + own[rest]
                 others = turns * ahead[-1] + ahead[rest]
                 at, upto = np.maximum(edges[:-1], low), np.minimum(edges[1:], high)
-                found.append((at, upto - at, segment.first + k[:-1], np.diff(others) + at - edges[:-1]))
+                some = upto > at  # a small queue may have no token in a window
+                made = (at, upto - at, segment.first + k[:-1], np.diff(others) + at - edges[:-1])
+                found.append([x[some] for x in made])
             if high == stop:
                 break
         return tuple(x.tolist() for x in (np.concatenate(c) for c in zip(*found, strict=True)))
@@ -164,20 +166,18 @@ def tokenized(documents: DataFrame, tokenizer: str, end_id: int | None, by_word:
         encoder, marks = shared((make.__name__, tokenizer), lambda: make(tokenizer)), Marks()
         tail, width = b"" if end_id is None else np.array([end_id], encoder.dtype).tobytes(), encoder.dtype.itemsize
         for cols in batches:
-            for at in range(0, len(cols["body"]), 1000):
-                part = slice(at, at + 1000)
-                ids = [x + tail for x in encoder.texts([x or b"" for x in cols["body"][part]])]
-                sizes = [len(x) // width for x in ids]
-                sources = [None if x is None else bytes(x) for x in cols["source"][part]]
-                yield {
-                    "part": [marks.part] * len(ids),
-                    "doc_id": cols["doc_id"][part],
-                    "source": [None if x is None else x.decode("utf-8", "replace") for x in sources],
-                    "start": [marks.start(s, n) for s, n in zip(sources, sizes, strict=True)],
-                    "n": sizes,
-                    "width": [width] * len(ids),
-                    "ids": ids,
-                }
+            ids = [x + tail for x in encoder.texts([x or b"" for x in cols["body"]])]
+            sizes = [len(x) // width for x in ids]
+            sources = [None if x is None else x.decode("utf-8", "replace") for x in cols["source"]]
+            yield {
+                "part": [marks.part] * len(ids),
+                "doc_id": cols["doc_id"],
+                "source": sources,
+                "start": [marks.start(s, n) for s, n in zip(sources, sizes, strict=True)],
+                "n": sizes,
+                "width": [width] * len(ids),
+                "ids": ids,
+            }
 
     return flat_map(body, run, "part int, doc_id long, source string, start long, n long, width int, ids binary")
 

@@ -214,8 +214,8 @@ def keep_one(documents: DataFrame, shingle: int = 3, radius: int = 2, id_col: st
     """``documents`` with one row of each group of near-duplicates: that of the smallest id, then of the smallest text key."""
     groups = near_duplicates(documents, shingle, radius, id_col, text)
     chosen = groups.groupBy("root").agg(F.min_by(F.struct(F.col(id_col).alias("id"), F.col("text_key").alias("key")), F.struct(F.col(id_col).isNull(), id_col, "text_key")).alias("one"))
-    one = chosen.select(F.col("one.id").alias("__id"), F.col("one.key").alias("__key"))
-    keyed = documents.withColumn("__key_of", F.xxhash64(text))
-    same = keyed[id_col].cast("long").eqNullSafe(one["__id"]) & (keyed["__key_of"] == one["__key"])
-    kept = keyed.join(one, same)
-    return kept.dropDuplicates(["__id", "__key"]).select(*[documents[c] for c in documents.columns])
+    key = lambda i, k: [F.coalesce(i.cast("long"), F.lit(0)).alias("__id"), F.xxhash64(i.isNull(), k).alias("__key")]
+    one = chosen.select(*key(F.col("one.id"), F.col("one.key")))
+    keyed = documents.select("*", *key(F.col(f"`{id_col}`"), F.xxhash64(F.col(f"`{text}`"))))
+    kept = keyed.join(one, ["__id", "__key"])  # plain keys, so that repeated rows are dropped where the join leaves them
+    return kept.dropDuplicates(["__id", "__key"]).select(*[F.col(f"`{c}`") for c in documents.columns])

@@ -25,7 +25,7 @@ class WordEncoder:
     with many others. Once ``limit`` words are held, further ones are encoded batch by batch, so memory is bounded.
     """
 
-    def __init__(self, path: str, limit: int = 700_000):
+    def __init__(self, path: str, limit: int = 400_000):
         self.tokenizer = Tokenizer.from_file(path)
         size = self.tokenizer.get_vocab_size(with_added_tokens=True)
         self.dtype = np.dtype("<u2" if size <= 1 << 16 else "<u4")
