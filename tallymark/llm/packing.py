@@ -266,5 +266,5 @@ def _cut(rows: DataFrame, schedule: Schedule) -> DataFrame:
                 out["ids"] += [wide[4 * (a - place) : 4 * (a - place + x)] for a, x in zip(at, size, strict=True)]
             yield out
 
-    ready = rows.select("doc_id", "source", "queue", (F.col("base") + F.col("start")).alias("place"), "n", "width", "ids")
+    ready = rows.where("n > 0").select("doc_id", "source", "queue", (F.col("base") + F.col("start")).alias("place"), "n", "width", "ids")
     return flat_map(ready, run, PIECES)

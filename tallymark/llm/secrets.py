@@ -123,6 +123,11 @@ def _mixed(s: str) -> bool:
     return digits >= 2 and sum(c.isalpha() for c in s) >= 2
 
 
+def all_spans(text: str, rules: Novelty, meter: Meter) -> list[tuple[int, int, int]]:
+    base = base_spans(text)
+    return sorted(base + novel_spans(text, base, rules, meter))
+
+
 def secrets(documents: DataFrame, rules: Novelty = Novelty(), text: str = "text") -> DataFrame:
     """All columns of ``documents`` and ``secrets``: kind, start and end (exclusive, in code points) of each secret.
 
@@ -134,9 +139,7 @@ def secrets(documents: DataFrame, rules: Novelty = Novelty(), text: str = "text"
     def scan(cols: Lists) -> Lists:
         meter, out = Meter(rules), []
         for raw in cols[text]:
-            body = raw.decode("utf-8", "replace") if raw else ""
-            base = base_spans(body)
-            spans = sorted(base + novel_spans(body, base, rules, meter))
+            spans = all_spans(raw.decode("utf-8", "replace") if raw else "", rules, meter)
             out.append([{"kind": KINDS[k], "start": s, "end": e} for s, k, e in spans])
         return {"secrets": out}
 
@@ -147,23 +150,19 @@ def redact(documents: DataFrame, rules: Novelty = Novelty(), text: str = "text",
     """``documents`` with each run of overlapping secrets replaced by ``mark``; texts without one stay as they are."""
 
     def clean(cols: Lists) -> Lists:
-        out = []
-        for raw, spans in zip(cols[text], cols["secrets"], strict=True):
-            if not spans:
-                out.append(raw)
-                continue
-            body, parts, at = raw.decode("utf-8", "replace"), [], 0
-            for span in spans:
-                if span["start"] >= at:
-                    parts += [body[at : span["start"]], mark]
-                at = max(at, span["end"])
-            out.append("".join(parts) + body[at:])
-        return {text: [x.decode("utf-8", "replace") if isinstance(x, bytes) else x for x in out]}
-
-    columns = documents.columns
-    return add_columns(secrets(documents, rules, text), [text, "secrets"], clean, f"`{text}` string").select(
-        *[f"`{c}`" for c in columns]
-    )
+        meter, out = Meter(rules), []
+        for raw in cols[text]:
+            body = None if raw is None else raw.decode("utf-8", "replace")
+            parts, at = [], 0
+            for start, _, end in all_spans(body or "", rules, meter):
+                if start >= at:
+                    parts += [body[at:start], mark]
+                at = max(at, end)
+            out.append("".join(parts) + body[at:] if parts else body)
+        return {text: out}
+
+    columns = [f"`{c}`" for c in documents.columns]
+    return add_columns(documents, [text], clean, f"`{text}` string").select(*columns)
 
 
 def listing(spans: Column) -> Column:

@@ -154,8 +154,7 @@ def links(distinct: DataFrame, radius: int = 2, bucket: int = BUCKET) -> DataFra
 
     Pairs that other links already join may be left out, never one that is needed to reach a fingerprint.
     """
-    masks = _parts(0, radius + 1)
-    rows = _bucketed(distinct.select(F.lit(0).cast("long").alias("mask"), F.lit(0).cast("long").alias("key"), "fp"), {0: masks})
+    rows = _bucketed(distinct.select(F.lit(0).cast("long").alias("mask"), "fp"), [0], radius)
     found = None
     while True:
         hot = cut(rows.groupBy("mask", "key").count().where(F.col("count") > bucket).drop("count"))
@@ -166,20 +165,16 @@ def links(distinct: DataFrame, radius: int = 2, bucket: int = BUCKET) -> DataFra
         found = made if found is None else found.union(made)
         if not more:
             return found
-        finer = {mask: _parts(mask, radius + 1) for mask in masks}
-        masks = sorted({x for parts in finer.values() for x in parts})
-        rows = cut(_bucketed(rows.join(hot, ["mask", "key"]), finer))
-
-
-def _bucketed(rows: DataFrame, finer: dict[int, list[int]]) -> DataFrame:
-    """Each row once for every finer mask of its own one. There are a few dozen masks at most."""
-    choice = None
-    for mask, parts in finer.items():
-        values = F.array(*[F.lit(_signed(x)).cast("long") for x in parts])
-        case = F.col("mask") == F.lit(_signed(mask))
-        choice = F.when(case, values) if choice is None else choice.when(case, values)
-    exploded = rows.select(F.explode(choice).alias("mask"), "fp")
-    return exploded.select("mask", F.col("fp").bitwiseAND(F.col("mask")).alias("key"), "fp")
+        masks = [r["mask"] % (1 << BITS) for r in hot.select("mask").distinct().collect()]
+        rows = cut(_bucketed(rows.join(hot, ["mask", "key"]), masks, radius))
+
+
+def _bucketed(rows: DataFrame, masks: list[int], radius: int) -> DataFrame:
+    """Each row once for every finer mask of its own one; there are (radius + 1) to the power of the depth at most."""
+    finer = [(_signed(mask), _signed(part)) for mask in masks for part in _parts(mask, radius + 1)]
+    parts = rows.sparkSession.createDataFrame(finer, "mask long, part long")
+    split = rows.join(parts, "mask").select(F.col("part").alias("mask"), "fp")
+    return split.select("mask", F.col("fp").bitwiseAND(F.col("mask")).alias("key"), "fp")
 
 
 # --- the operator
