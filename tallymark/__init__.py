@@ -7,7 +7,7 @@ from tallymark.operators.quality import quality_report
 from tallymark.operators.query import (
     list_counters,
     list_gauges,
-    list_metrics,
+    list_state,
     lookup_many,
     lookup_point,
     lookup_typed,

@@ -67,7 +67,7 @@ def _typed(e: Column) -> Column:
 
 
 def decode_items(doc: Column) -> Column:
-    """Array of ``(id, type, delta, value)``; NULL where the text is not a document of metrics.
+    """Array of ``(id, type, delta, value)``; NULL where the text is not a document of items.
 
     A single object gives one item, a ``null`` element a NULL or an empty one. Text after the first
     JSON value is ignored.

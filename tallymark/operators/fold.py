@@ -8,18 +8,26 @@ from pyspark.sql import functions as F
 from tallymark import schema as S
 from tallymark.functions.numbers import wrapping_sum
 
-# Bits of a packed order that hold the position inside a batch.
-POSITION_BITS = 24
+# Positions inside a batch lie below this.
+POSITIONS = 2**31
 
 
 def pack_order(batch: Column, position: Column) -> Column:
-    """One BIGINT that sorts like ``(batch, position)``; fails where either is out of range."""
-    fits = (
-        (position >= 0) & (position < 2**POSITION_BITS)
-        & (batch >= 0) & (batch < 2 ** (63 - POSITION_BITS))
-    )
-    packed = F.shiftleft(batch.cast("bigint"), POSITION_BITS).bitwiseOR(position.cast("bigint"))
-    return F.when(fits, packed).otherwise(F.raise_error(F.lit("batch order out of range")).cast("bigint"))
+    """One DECIMAL that sorts like ``(batch, position)`` for every BIGINT batch.
+
+    Fails where the position is negative or 2^31 and more, or where either is NULL.
+    """
+    packed = batch.cast("decimal(19,0)") * F.lit(POSITIONS).cast("decimal(10,0)") + position.cast("decimal(10,0)")
+    fits = batch.isNotNull() & (position >= 0) & (position < POSITIONS)
+    wide = "decimal(38,0)"
+    return F.when(fits, packed.cast(wide)).otherwise(F.raise_error(F.lit("batch order out of range")).cast(wide))
+
+
+def last_value(order: str) -> Column:
+    """Value of the newest gauge update; fails where a gauge update has no order."""
+    lost = F.count_if((F.col("type") == S.GAUGE) & F.col(order).isNull())
+    missing = F.raise_error(F.lit("gauge update without an order")).cast("double")
+    return F.when(lost > 0, missing).otherwise(F.max_by("value", order))
 
 
 def add_deltas(delta: Column, overflow: str) -> Column:
@@ -46,7 +54,7 @@ def fold_state(
     shuffle. ``ts`` adds ``created_at`` / ``updated_at``.
     """
     aggregates = [
-        F.max_by("value", order).alias("value"),
+        last_value(order).alias("value"),
         add_deltas(F.col("delta"), overflow).alias("delta"),
     ]
     if ts is not None:
@@ -56,7 +64,7 @@ def fold_state(
 
 def fold_gauges(updates: DataFrame, order: str = "seq") -> DataFrame:
     gauges = updates.where(F.col("type") == S.GAUGE)
-    return gauges.groupBy("name").agg(F.max_by("value", order).alias("value"))
+    return gauges.groupBy("name").agg(last_value(order).alias("value"))
 
 
 def fold_counters(updates: DataFrame, overflow: str = "error") -> DataFrame:

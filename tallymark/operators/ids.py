@@ -13,9 +13,12 @@ def random_id() -> Column:
 def time_ordered_id(ts: Column, *key: Column) -> Column:
     """Version-7 UUID: 48 bits of milliseconds, the rest drawn from the hash of a unique key.
 
-    The same update gets the same id again when a lost task or a micro-batch is recomputed.
+    The same update gets the same id again when a lost task or a micro-batch is recomputed, in any time zone: a time
+    without a zone counts as UTC. Times before 1970 have no such id and fail.
     """
-    millis = F.lpad(F.lower(F.hex(F.unix_millis(ts.cast("timestamp")))), 12, "0")
+    since = F.timestamp_diff("MILLISECOND", F.lit("1970-01-01").cast("timestamp_ntz"), ts.cast("timestamp_ntz"))
+    early = F.raise_error(F.lit("time before 1970 has no time-ordered id")).cast("bigint")
+    millis = F.lpad(F.lower(F.hex(F.when(since < 0, early).otherwise(since))), 12, "0")
     digest = F.md5(F.concat_ws(":", *[k.cast("string") for k in key]))
     # The two bits 10 of the variant leave four digits for its place (fixed values).
     variant = F.substring(F.lit("89ab"), F.conv(F.substring(digest, 4, 1), 16, 10).cast("int") % 4 + 1, F.lit(1))

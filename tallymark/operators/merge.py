@@ -65,7 +65,7 @@ def key_violations(rows: DataFrame) -> DataFrame:
 
 
 def rename(state: DataFrame, mapping: DataFrame) -> DataFrame:
-    """Rename metrics by ``mapping(type, old, new)``; fails on an empty or a taken new name."""
+    """Rename keys by ``mapping(type, old, new)``; fails on an empty or a taken new name."""
     error = F.when(blank(F.col("new")), F.lit(S.NAME_EMPTY))
     names = require(mapping, error, F.col("old"), "cannot rename").select(
         "type", F.col("old").alias("name"), "new"

@@ -29,7 +29,7 @@ def list_counters(state: DataFrame) -> DataFrame:
     return state.where(F.col("type") == S.COUNTER).select("name", "delta").orderBy("name")
 
 
-def list_metrics(state: DataFrame) -> DataFrame:
+def list_state(state: DataFrame) -> DataFrame:
     """Listing ``(type, name, value)`` as text, counters before gauges."""
     text = shown_value(F.col("type"), F.col("value"), F.col("delta"))
     return state.select(*S.KEY, text.alias("value")).orderBy(*S.KEY)

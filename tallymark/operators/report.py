@@ -13,17 +13,17 @@ POLL_SECONDS = 2
 REPORT_SECONDS = 10
 DAY_SECONDS = 86400
 
-# Metrics in one payload part. A state of the usual few dozen metrics stays one payload.
-PAYLOAD_LIMIT = 1000
-
 
 def _ceil_div(a: Column, b: int) -> Column:
     return F.call_function("div", a + F.lit(b - 1), F.lit(b))
 
 
 def tick(ts: Column, start: Column, seconds: int) -> Column:
-    """Number of the first tick at or after ``ts``; tick n is ``n * seconds`` after ``start``, n >= 1."""
-    elapsed = F.unix_micros(ts.cast("timestamp")) - F.unix_micros(start.cast("timestamp"))
+    """Number of the first tick at or after ``ts``; tick n is ``n * seconds`` after ``start``, n >= 1.
+
+    Times without a zone are compared as they are, so the session's zone has no part in it.
+    """
+    elapsed = F.timestamp_diff("MICROSECOND", start, ts)
     return F.greatest(_ceil_div(elapsed, seconds * 1_000_000), F.lit(1).cast("bigint"))
 
 
@@ -74,7 +74,7 @@ def report_changes(updates: DataFrame, tick: str = "tick", order: str = "seq") -
 
 
 def report_cumulative(updates: DataFrame, tick: str = "tick", order: str = "seq", last_tick: Column | None = None) -> DataFrame:
-    """State shipped at every tick: all metrics seen so far, counters never reset.
+    """State shipped at every tick: all keys seen so far, counters never reset.
 
     A change is repeated for the ticks up to the next one, so no key-by-tick grid is joined.
     """
@@ -103,7 +103,7 @@ def wire_json(kind: Column, name: Column, value: Column, delta: Column) -> Colum
 
 
 def wire_encode(rows: DataFrame) -> DataFrame:
-    """Text metrics ``(type, name, raw_value)`` as JSON objects in ``payload``, or an ``error``."""
+    """Text items ``(type, name, raw_value)`` as JSON objects in ``payload``, or an ``error``."""
     kind, parsed = F.col("type"), parse_operands(rows)
     error = F.when(unsupported(kind), F.lit(S.UNSUPPORTED_TYPE)).when(
         F.col("value").isNull() & F.col("delta").isNull(), F.lit(S.INVALID_VALUE)
@@ -113,24 +113,18 @@ def wire_encode(rows: DataFrame) -> DataFrame:
     return checked.withColumn("payload", F.when(F.col("error").isNull(), payload)).drop("value", "delta")
 
 
-def report_payload(reports: DataFrame, limit: int = PAYLOAD_LIMIT, metrics: DataFrame | None = None) -> DataFrame:
+def report_payload(reports: DataFrame, parts: int = 1) -> DataFrame:
     """JSON-array payloads ``(tick, part, payload)`` of the shipped state, sorted inside by name.
 
-    A report of up to ``limit`` metrics is one payload. Larger ones are split by key hash into
-    parts of about that size: adding up consecutive batches gives the same state, and no group
-    grows with the number of metrics. Ticks without metrics give no row. ``metrics`` is a cheaper
-    frame to count the metrics in, such as the update log itself.
+    A report is one payload; ``parts`` splits every report by key hash into so many, whatever its size. Adding up
+    consecutive batches gives the same state. A payload is one value in one task, so a caller with millions of keys
+    chooses enough parts. Ticks without a key give no row, nor do parts without one.
     """
-    key = F.xxhash64(*S.KEY)
-    keys = (reports if metrics is None else metrics).agg(F.approx_count_distinct(key)).scalar()
-    parts = F.greatest(F.call_function("div", keys + F.lit(limit - 1), F.lit(limit)), F.lit(1).cast("bigint"))
-    metric = F.struct(
-        F.col("name").alias("id"), "type", "delta", finite_or_zero(F.col("value")).alias("value")
-    )
+    item = F.struct(F.col("name").alias("id"), "type", "delta", finite_or_zero(F.col("value")).alias("value"))
     return (
-        reports.withColumn("part", F.pmod(key, parts))
+        reports.withColumn("part", F.pmod(F.xxhash64(*S.KEY), F.lit(parts).cast("bigint")))
         .groupBy("tick", "part")
-        .agg(F.to_json(F.array_sort(F.collect_list(metric))).alias("payload"))
+        .agg(F.to_json(F.array_sort(F.collect_list(item))).alias("payload"))
     )
 
 

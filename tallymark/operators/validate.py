@@ -10,7 +10,7 @@ from tallymark.functions.numbers import is_finite, parse_operands
 from tallymark.functions.stage import computed_once
 from tallymark.session import shared_dir
 
-# Order of the outcomes inside a packed verdict; position + 1 is the code (fixed values).
+# Outcomes by number; position + 1 is the code (fixed values).
 _VERDICTS = (
     S.UNSUPPORTED_TYPE,
     S.VALUE_REQUIRED,
@@ -137,41 +137,35 @@ def batch_verdicts(checked: DataFrame, order: str = "seq") -> DataFrame:
     """The outcome each batch is answered with.
 
     The first element with a wrong type or operand decides; only without one does the first empty
-    name. Packing (stage, position, code) into one BIGINT keeps this a hash aggregate; ``order``
-    may take up to 51 bits.
+    name. Outcomes travel as numbers, which keeps this a hash aggregate for any ``order``.
     """
-    code = F.lit(0)
+    code = F.lit(None).cast("int")
     for i, name in enumerate(_VERDICTS):
         code = F.when(F.col("error") == name, F.lit(i + 1)).otherwise(code)
-    late = F.when(F.col("error") == S.NAME_EMPTY, F.lit(1)).otherwise(F.lit(0))
-    packed = (
-        F.shiftleft(late.cast("bigint"), 60)
-        .bitwiseOR(F.shiftleft(F.col(order).cast("bigint"), 8))
-        .bitwiseOR(code.cast("bigint"))
-    )
-    first = checked.groupBy("batch_id").agg(
-        F.min(F.when(F.col("error").isNotNull(), packed)).alias("first")
-    )
-    verdict = F.element_at(
-        F.array(*[F.lit(v) for v in _VERDICTS]), F.col("first").bitwiseAND(F.lit(255)).cast("int")
-    )
-    return first.select("batch_id", F.when(F.col("first").isNotNull(), verdict).alias("error"))
+    late = F.col("error") == S.NAME_EMPTY
+    coded = checked.select("batch_id", order, F.when(~late, code).alias("early"), F.when(late, code).alias("late"))
+    first = lambda c: F.min_by(c, F.when(F.col(c).isNotNull(), F.col(order)))
+    found = coded.groupBy("batch_id").agg(F.coalesce(first("early"), first("late")).alias("first"))
+    verdict = F.element_at(F.array(*[F.lit(v) for v in _VERDICTS]), F.col("first"))
+    return found.select("batch_id", F.when(F.col("first").isNotNull(), verdict).alias("error"))
 
 
 def drop_rejected_batches(checked: DataFrame, batch: str = "batch_id") -> DataFrame:
     """All-or-nothing batches: keep only the rows of batches without a bad row.
 
+    A row with a NULL batch is a batch of its own: it stays if it is valid.
+
     The ids of bad batches are written out first. Their true size is then known to the optimizer,
     which broadcasts them only below ``spark.sql.autoBroadcastJoinThreshold``: the log itself is
     shuffled only when bad batches are too many for that, and then a batch too large for one task
     is split by the adaptive skew join.
     """
-    bad = checked.where(F.col("error").isNotNull()).select(batch).distinct()
+    bad = checked.where(F.col("error").isNotNull() & F.col(batch).isNotNull()).select(batch).distinct()
     spark = checked.sparkSession
     folder = shared_dir(spark, "bad-batches")
     bad.write.parquet(folder)
     bad = spark.read.schema(bad.schema).parquet(folder)
-    return checked.join(bad, batch, "left_anti").drop("error")
+    return valid(checked.join(bad, batch, "left_anti"))
 
 
 def finite_values(rows: DataFrame) -> Column:

@@ -248,7 +248,7 @@ def key_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @registered
-def rename_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+def rename_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     state = _state(spark, sf_dir)
     mapping = state.where("type = 'counter'").selectExpr("type", "name AS old", "concat('total_', substring(name, 6)) AS new")
     return merge.rename(state, mapping)
@@ -283,13 +283,13 @@ def list_counters(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @registered
-def list_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return query.list_metrics(_state(spark, sf_dir))
+def list_state(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return query.list_state(_state(spark, sf_dir))
 
 
 @registered
-def list_metrics_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return query.list_metrics(fold.fold_state(views.updates_wide(spark, sf_dir)))
+def list_state_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return query.list_state(fold.fold_state(views.updates_wide(spark, sf_dir)))
 
 
 @registered
@@ -368,7 +368,7 @@ def report_overcount(spark: SparkSession, sf_dir: str) -> DataFrame:
 def report_payload(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows, last = _ticked(spark, sf_dir)
     reports = report.report_cumulative(rows, last_tick=last)
-    return report.report_payload(reports, metrics=views.updates_raw(spark, sf_dir))
+    return report.report_payload(reports)
 
 
 @registered
@@ -379,18 +379,20 @@ def window_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- streams
 
 
-def _arrivals(rows: DataFrame, label: str) -> str:
-    """Rows as a folder of files for a stream to read."""
-    folder = shared_dir(rows.sparkSession, label)
-    rows.repartitionByRange(3, "seq").write.parquet(folder)
-    return folder
+def _arrivals(rows: DataFrame, label: str) -> tuple[str, int]:
+    """Rows as a folder of files for a stream to read, one for each shuffle partition, and a quarter of their number."""
+    spark = rows.sparkSession
+    files = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    folder = shared_dir(spark, label)
+    rows.repartitionByRange(files, "seq").write.parquet(folder)
+    return folder, -(-files // 4)
 
 
 @registered
 def stream_fold(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = _valid(spark, sf_dir).select("seq", "ts", *STATE_COLUMNS)
-    folder, target = _arrivals(rows, "arrivals"), shared_dir(spark, "fold")
-    stream = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(folder)
+    (folder, files), target = _arrivals(rows, "arrivals"), shared_dir(spark, "fold")
+    stream = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", files).parquet(folder)
     jobs.run_fold(stream, target, state_partitions=spark.sparkContext.defaultParallelism).awaitTermination()
     return jobs.read_fold(spark, target).select(*STATE_COLUMNS)
 

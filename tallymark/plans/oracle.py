@@ -232,7 +232,7 @@ _SQL = {
     "state_replace": (_UPSERTED.format(delta="coalesce(n.delta, b.delta)"), ("base", "new")),
     "state_merge_add": (_UPSERTED.format(delta=_ADDED), ("base", "new")),
     "key_violations": ("SELECT type, name, count(*) AS n FROM raw GROUP BY type, name HAVING count(*) > 1", ("raw",)),
-    "rename_metrics": (
+    "rename_keys": (
         "SELECT type, CASE WHEN type = 'counter' THEN 'total_' || substr(name, 6) ELSE name END AS name, value, delta FROM state",
         ("state",),
     ),
@@ -242,8 +242,8 @@ _SQL = {
     ),
     "list_gauges": ("SELECT name, value FROM state WHERE type = 'gauge' ORDER BY name", ("state",)),
     "list_counters": ("SELECT name, delta FROM state WHERE type = 'counter' ORDER BY name", ("state",)),
-    "list_metrics": (f"SELECT type, name, {_SHOWN} AS value FROM state ORDER BY type, name", ("state",)),
-    "list_metrics_wide": (
+    "list_state": (f"SELECT type, name, {_SHOWN} AS value FROM state ORDER BY type, name", ("state",)),
+    "list_state_wide": (
         f"SELECT type, name, {_SHOWN} AS value FROM (SELECT type, name, {_FOLD} FROM wide GROUP BY type, name) ORDER BY type, name",
         ("wide",),
     ),

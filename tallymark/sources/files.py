@@ -34,7 +34,12 @@ class Versions:
         return sorted(int(s.getPath().getParent().getName().partition("=")[2]) for s in found)
 
     def write(self, rows: DataFrame, version: int, partition_by: tuple[str, ...] = ()) -> None:
-        rows.write.mode("overwrite").format(self.fmt).save(self.path(version), partitionBy=list(partition_by) or None)
+        """Write one version whole, whatever the session says about overwriting partitions, and check that it counts."""
+        writer = rows.write.mode("overwrite").format(self.fmt).option("partitionOverwriteMode", "static")
+        writer.save(self.path(version), partitionBy=list(partition_by) or None)
+        fs, marker = file_system(self.spark, f"{self.path(version)}/_SUCCESS")
+        if not fs.exists(marker):
+            raise RuntimeError(f"{self.path(version)} was written without its marker")
 
     def read(self, versions: list[int]) -> DataFrame:
         """Rows of these versions, with their number in the column ``version``."""

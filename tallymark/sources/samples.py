@@ -11,14 +11,17 @@ from tallymark.functions.numbers import finite_or_zero
 _HASH_RANGE = float(2**32)
 
 
-def sample_columns(samples: DataFrame) -> list[str]:
-    """The runtime columns a sample table has, in their fixed order."""
+def sample_columns(samples: DataFrame, ids: tuple[str, ...] = ("poll_id", "ts")) -> list[str]:
+    """The runtime columns a sample table has, in their fixed order; a column of another name is an error."""
+    unknown = set(samples.columns) - {*S.RUNTIME_NAMES, *ids, S.RANDOM_VALUE}
+    if unknown:
+        raise ValueError(f"not a reading: {', '.join(sorted(unknown))}")
     return [n for n in S.RUNTIME_NAMES if n in samples.columns]
 
 
 def unpivot_samples(samples: DataFrame, ids: tuple[str, ...] = ("poll_id", "ts")) -> DataFrame:
     """One row ``(ids…, name, value)`` per reading, as read."""
-    return samples.unpivot(list(ids), sample_columns(samples), "name", "value")
+    return samples.unpivot(list(ids), sample_columns(samples, ids), "name", "value")
 
 
 def normalize_samples(long: DataFrame) -> DataFrame:
@@ -40,8 +43,10 @@ def collect_samples(samples: DataFrame, poll: str = "poll_id", ids: tuple[str, .
 
     All come out of one unpivot, so the samples are scanned once and nothing is shuffled.
     """
-    names = [*sample_columns(samples), S.RANDOM_VALUE, S.POLL_COUNT]
-    wide = samples.withColumns({S.RANDOM_VALUE: random_value(F.col(poll), seed), S.POLL_COUNT: F.lit(1.0)})
+    names = [*sample_columns(samples, (*ids, poll)), S.RANDOM_VALUE, S.POLL_COUNT]
+    read = S.RANDOM_VALUE in samples.columns
+    drawn = F.col(S.RANDOM_VALUE) if read else random_value(F.col(poll), seed)
+    wide = samples.withColumns({S.RANDOM_VALUE: drawn, S.POLL_COUNT: F.lit(1.0)})
     long = normalize_samples(wide.unpivot(list(ids), names, "name", "value"))
     counts = F.col("name") == S.POLL_COUNT
     return long.select(

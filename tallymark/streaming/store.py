@@ -15,7 +15,8 @@ class StateStore:
 
     An epoch writes only its own folded rows, so its cost follows the micro-batch and not the
     state; every ``compact_every`` epochs one fold writes a new full version. An epoch that was
-    applied before is skipped, which makes replays harmless. Readers fold the newest full version
+    applied before is skipped, which makes replays harmless. What the last two full versions replace is then deleted,
+    so the folder does not grow with the age of the stream. Readers fold the newest full version
     with the epochs after it; conditions on type and name reach the scans.
 
     Counters of an epoch are added to the state, or with ``add=False`` replace it (for epochs that
@@ -63,11 +64,13 @@ class StateStore:
 
     def put(self, folded: DataFrame, epoch: int) -> bool:
         """Apply rows that are folded already, one per key."""
-        if epoch <= self.applied():
+        full, deltas = self._layout()
+        if epoch <= max(full + deltas, default=-1):
             return False
         self._write(self.deltas, folded, epoch)
-        if len(self._layout()[1]) >= self.compact_every:
+        if len(deltas) + 1 >= self.compact_every:
             self.compact()
+            self.expire()
         return True
 
     def compact(self) -> None:

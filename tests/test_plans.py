@@ -27,7 +27,7 @@ def test_checks_parse_each_text_once(spark):
     assert plan_of(spark, "fold_state").count("0[xX]") == 1
 
 
-@pytest.mark.parametrize("key", ["report_cumulative", "report_overcount", "lookup_many", "batch_atomic", "rename_metrics"])
+@pytest.mark.parametrize("key", ["report_cumulative", "report_overcount", "lookup_many", "batch_atomic", "rename_keys"])
 def test_no_cross_joins(spark, key):
     plan = plan_of(spark, key)
     assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan

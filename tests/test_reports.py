@@ -99,14 +99,33 @@ def test_payloads(ticked, tmp_path):
     assert back.where("error IS NOT NULL").count() == 0 and back.count() == reports.count()
 
 
-def test_large_reports_are_split_without_loss(spark):
-    reports = spark.range(500).select(
+@pytest.mark.parametrize("keys", [500, 1000, 100_000])
+def test_reports_are_split_only_on_request(spark, keys):
+    reports = spark.range(keys).select(
         F.lit(1).alias("tick"), F.lit("counter").alias("type"), F.concat(F.lit("c"), "id").alias("name"),
         F.lit(None).cast("double").alias("value"), F.col("id").alias("delta"),
     )
-    parts = [json.loads(r.payload) for r in tm.report_payload(reports, limit=50).collect()]
-    assert len(parts) > 5 and max(map(len, parts)) < 120
-    assert sorted(m["delta"] for p in parts for m in p) == list(range(500))
+    one = tm.report_payload(reports).collect()
+    assert [(r.tick, r.part) for r in one] == [(1, 0)] and len(json.loads(one[0].payload)) == keys
+    parts = [json.loads(r.payload) for r in tm.report_payload(reports, parts=8).collect()]
+    assert len(parts) == 8 and max(map(len, parts)) < keys / 4
+    assert sorted(m["delta"] for p in parts for m in p) == list(range(keys))
+
+
+def test_ticks_and_ids_do_not_depend_on_the_time_zone(spark):
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    rows = "SELECT 1 AS seq, TIMESTAMP_NTZ'2024-03-10 00:30:00' AS ts UNION ALL SELECT 2, TIMESTAMP_NTZ'2024-03-10 03:30:00'"
+    found = []
+    try:
+        for name in ("UTC", "America/New_York"):
+            spark.conf.set("spark.sql.session.timeZone", name)
+            ticks = tm.report_ticks(spark.sql(rows)).orderBy("seq").collect()
+            found.append(([(r.poll_tick, r.report_tick) for r in ticks], [r.id for r in tm.assign_ids(spark.sql(rows)).orderBy("seq").collect()]))
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+    assert found[0] == found[1] and found[0][0][1] == (5400, 1080)
+    with pytest.raises(Exception, match="before 1970"):
+        tm.assign_ids(spark.sql("SELECT 1 AS seq, TIMESTAMP_NTZ'1969-12-31 23:59:59' AS ts")).collect()
 
 
 def test_wire_encode(spark):

@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 
 import tallymark as tm
 from tallymark.operators.fold import fold_state
+from tallymark.operators.validate import batch_verdicts, drop_rejected_batches
+from tallymark.streaming.store import StateStore
 
 UPDATE = "seq bigint, type string, name string, value double, delta bigint"
 STATE = "type string, name string, value double, delta bigint"
@@ -97,11 +99,57 @@ def test_latest_rows(spark):
 
 
 def test_pack_order_sorts_and_guards(spark):
-    rows = spark.createDataFrame([(0, 1), (0, 2), (1, 0), (2**38, 3)], "b bigint, p int")
+    rows = spark.createDataFrame([(-1, 5), (0, 1), (0, 2), (1, 0), (2**28, 0), (2**40, 3), (1_700_000_000_000, 2**31 - 1), (2**63 - 1, 3)], "b bigint, p int")
     packed = [r[0] for r in rows.select(tm.pack_order(F.col("b"), F.col("p"))).collect()]
     assert packed == sorted(packed)
-    with pytest.raises(Exception, match="out of range"):
-        spark.createDataFrame([(0, 2**24)], "b bigint, p int").select(tm.pack_order(F.col("b"), F.col("p"))).collect()
+    for odd in ((0, 2**31), (0, -1), (None, 0), (0, None)):
+        with pytest.raises(Exception, match="out of range"):
+            spark.createDataFrame([odd], "b bigint, p bigint").select(tm.pack_order(F.col("b"), F.col("p"))).collect()
+
+
+def test_a_gauge_without_an_order_fails(spark):
+    rows = updates(spark, gauge("a", 1), counter("c", 5)).withColumn("seq", F.when(F.col("type") == "counter", F.col("seq")))
+    for fold in (tm.fold_state, tm.fold_gauges):
+        with pytest.raises(Exception, match="without an order"):
+            fold(rows).collect()
+
+
+@pytest.mark.parametrize("batch", [1, 2**28, 2**40, 1_700_000_000_000])
+def test_verdicts_hold_for_any_order(spark, batch):
+    rows = spark.createDataFrame([(batch, 0, "name_empty"), (batch, 1, "unsupported_type"), (batch, 2, "value_required"), (batch + 1, 0, None), (None, 0, "name_empty")], "batch_id bigint, pos int, error string")
+    ordered = rows.withColumn("seq", tm.pack_order(F.coalesce("batch_id", F.lit(0)), F.col("pos")))
+    verdicts = batch_verdicts(ordered)
+    assert {r.batch_id: r.error for r in verdicts.collect()} == {batch: "unsupported_type", batch + 1: None, None: "name_empty"}
+    assert "SortAggregate" not in verdicts._jdf.queryExecution().executedPlan().toString()
+
+
+def test_rows_without_a_batch_stand_alone(spark):
+    rows = spark.createDataFrame([(None, "x", "bad"), (None, "y", None), (1, "a", None), (1, "b", "bad"), (2, "c", None)], "batch_id bigint, name string, error string")
+    assert sorted(r.name for r in drop_rejected_batches(rows).collect()) == ["c", "y"]
+
+
+def test_store_survives_dynamic_overwrite_and_stays_small(spark, tmp_path):
+    mode = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
+    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
+    try:
+        store = StateStore(spark, str(tmp_path), compact_every=3)
+        rows = updates(spark, gauge("a", 1), counter("c", 5)).withColumn("ts", F.lit("2024-01-01").cast("timestamp_ntz")).coalesce(1)
+        for epoch in range(14):
+            assert store.apply(rows, epoch) and store.applied() == epoch
+        assert not store.apply(rows, 13)
+        assert {(r.name, r.value, r.delta) for r in store.read().collect()} == {("a", 1.0, None), ("c", None, 70)}
+        assert len(list(tmp_path.glob("*/version=*"))) <= 2 + 2 * 3
+    finally:
+        spark.conf.set("spark.sql.sources.partitionOverwriteMode", mode)
+
+
+def test_unknown_readings_are_an_error(spark):
+    rows = spark.createDataFrame([(1, 2.0, 3.0)], "poll_id int, Alloc double, Bogus double")
+    with pytest.raises(ValueError, match="Bogus"):
+        tm.collect_samples(rows, ids=("poll_id",))
+    own = spark.createDataFrame([(1, 2.0, 0.25)], "poll_id int, Alloc double, RandomValue double")
+    got = {r.name: r.value for r in tm.collect_samples(own, ids=("poll_id",)).collect()}
+    assert got == {"Alloc": 2.0, "RandomValue": 0.25, "PollCount": None}
 
 
 def test_merges(spark):
@@ -142,7 +190,7 @@ def test_key_violations(spark):
 
 def test_listing(spark):
     state = spark.createDataFrame([gauge("HeapAlloc", 123.45), counter("PollCount", 7), gauge("<b>", math.inf), gauge("Z", 1), gauge("a", 1e21)], STATE)
-    rows = [tuple(r) for r in tm.list_metrics(state).collect()]
+    rows = [tuple(r) for r in tm.list_state(state).collect()]
     assert rows == [
         ("counter", "PollCount", "7"), ("gauge", "<b>", "+Inf"), ("gauge", "HeapAlloc", "123.45"), ("gauge", "Z", "1"),
         ("gauge", "a", "1" + "0" * 21),
@@ -193,7 +241,7 @@ def test_failed_save_keeps_the_version_before(spark, tmp_path):
 
 
 def test_array_files(spark, tmp_path):
-    file = tmp_path / "metrics.json"
+    file = tmp_path / "state.json"
     load = lambda text: (file.write_text(text), tm.load_snapshot(spark, str(file)).orderBy("pos").collect())[1]
     rows = [{"id": "a", "type": "counter", "delta": 1}, {"id": "b", "type": "gauge", "value": 2.5}, {"id": "a", "type": "counter", "delta": 3}]
     assert [(r.pos, r.id, r.value, r.delta) for r in load(json.dumps(rows, indent=2))] == [(0, "a", None, 1), (1, "b", 2.5, None), (2, "a", None, 3)]
