@@ -32,7 +32,7 @@ def list_counters(state: DataFrame) -> DataFrame:
 def list_state(state: DataFrame) -> DataFrame:
     """Listing ``(type, name, value)`` as text, counters before gauges."""
     text = shown_value(F.col("type"), F.col("value"), F.col("delta"))
-    return state.select(*S.KEY, text.alias("value")).orderBy(*S.KEY)
+    return state.orderBy(*S.KEY).select(*S.KEY, text.alias("value"))  # formatted once, after the sort
 
 
 def render_list(state: DataFrame) -> DataFrame:
@@ -41,7 +41,7 @@ def render_list(state: DataFrame) -> DataFrame:
     line = F.concat(
         html_escape(F.col("type")), F.lit(" "), html_escape(F.col("name")), F.lit(" = "), html_escape(text)
     )
-    return state.select(*S.KEY, line.alias("line")).orderBy(*S.KEY).select("line")
+    return state.orderBy(*S.KEY).select(line.alias("line"))
 
 
 def lookup_point(state: DataFrame, kind: str, name: str) -> DataFrame:

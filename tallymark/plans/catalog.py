@@ -397,14 +397,13 @@ def stream_fold(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jobs.read_fold(spark, target).select(*STATE_COLUMNS)
 
 
-def _upserted(spark: SparkSession, sf_dir: str, snapshot: str | None = None) -> str:
-    """Run the upsert stream over the batch documents, which arrive in two deliveries."""
-    docs = views.batch_docs(spark, sf_dir)
+def _upserted(spark: SparkSession, rows: DataFrame, snapshot: str | None = None, decode=jobs.batch_documents) -> str:
+    """Run the upsert stream over rows that arrive in two deliveries; the later one counts as newer."""
     folder, target = shared_dir(spark, "documents"), shared_dir(spark, "upsert")
     for delivery in (f"ts < {views.CUT}", f"ts >= {views.CUT}"):
-        docs.where(delivery).write.mode("append").parquet(folder)
-        stream = spark.readStream.schema(docs.schema).parquet(folder)
-        running = jobs.run_upsert(stream, target, interval=None)
+        rows.where(delivery).write.mode("append").parquet(folder)
+        stream = spark.readStream.schema(rows.schema).parquet(folder)
+        running = jobs.run_upsert(stream, target, interval=None, decode=decode)
         if snapshot:
             jobs.finish(running, target, snapshot)
         running.awaitTermination()
@@ -413,11 +412,23 @@ def _upserted(spark: SparkSession, sf_dir: str, snapshot: str | None = None) ->
 
 @registered
 def stream_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return jobs.open_store(spark, _upserted(spark, sf_dir)).read().select(*STATE_COLUMNS)
+    return jobs.open_store(spark, _upserted(spark, views.batch_docs(spark, sf_dir))).read().select(*STATE_COLUMNS)
+
+
+@registered
+def stream_update_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    target = _upserted(spark, views.updates_raw(spark, sf_dir), decode=jobs.text_updates)
+    return jobs.open_store(spark, target).read().select(*STATE_COLUMNS)
+
+
+@registered
+def stream_update_json(spark: SparkSession, sf_dir: str) -> DataFrame:
+    target = _upserted(spark, views.timed_docs(spark, sf_dir), decode=jobs.single_documents)
+    return jobs.open_store(spark, target).read().select(*STATE_COLUMNS)
 
 
 @registered
 def stream_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
     snapshot = shared_dir(spark, "snapshot")
-    _upserted(spark, sf_dir, snapshot)
+    _upserted(spark, views.batch_docs(spark, sf_dir), snapshot)
     return snapshots.load_snapshot(spark, snapshot).drop("pos")

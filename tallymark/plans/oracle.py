@@ -293,6 +293,12 @@ _SQL = {
 }
 
 
+_SQL["stream_update_text"] = _SQL["stream_fold"]
+_SQL["stream_update_json"] = (
+    f"SELECT type, name, {_FOLD} FROM ({_SQL['src_update_json'][0]}) WHERE error IS NULL GROUP BY type, name", ("raw",)
+)
+
+
 def _inputs(names: tuple[str, ...], seen: dict[str, str]) -> dict[str, str]:
     for name in names:
         sql, needs = _WITH[name]

@@ -140,6 +140,10 @@ def update_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return updates_raw(spark, sf_dir).selectExpr(*columns(DOC))
 
 
+def timed_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return updates_raw(spark, sf_dir).selectExpr("ts", *columns(DOC))
+
+
 def lookup_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return updates_raw(spark, sf_dir).selectExpr(*columns(LOOKUP_DOC))
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import logging
+import time
 from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 
@@ -11,9 +12,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tallymark.operators.fold import fold_state, pack_order
-from tallymark.operators.validate import valid
+from tallymark.operators.validate import check_text, valid
 from tallymark.sources.snapshots import load_snapshot, save_snapshot
-from tallymark.sources.updates import decode_batches
+from tallymark.sources.updates import decode_batches, decode_updates
 from tallymark.streaming.store import StateStore
 
 log = logging.getLogger(__name__)
@@ -74,6 +75,21 @@ def read_fold(spark: SparkSession, target: str) -> DataFrame:
     return _fold_store(spark, target).read()
 
 
+def batch_documents(docs: DataFrame) -> DataFrame:
+    """Checked updates of JSON-array documents ``(batch_id, ts, doc)``, ordered by batch and position."""
+    return decode_batches(docs).withColumn("seq", F.when(F.col("error").isNull(), pack_order(F.col("batch_id"), F.col("pos"))))
+
+
+def single_documents(docs: DataFrame) -> DataFrame:
+    """Checked updates of single JSON documents ``(seq, ts, doc)``."""
+    return decode_updates(docs)
+
+
+def text_updates(rows: DataFrame) -> DataFrame:
+    """Checked text updates ``(seq, ts, type, name, raw_value)``."""
+    return check_text(rows)
+
+
 def run_upsert(
     docs: DataFrame,
     target: str,
@@ -82,25 +98,36 @@ def run_upsert(
     sync: bool = False,
     restore: bool = True,
     rejects: Callable[[DataFrame, int], None] | None = None,
+    decode: Callable[[DataFrame], DataFrame] = batch_documents,
+    save_every: float | None = None,
 ) -> StreamingQuery:
-    """Apply a stream of JSON batches ``(batch_id, ts, doc)`` to the store below ``target``.
-
-    A document is applied whole or not at all, and a replayed micro-batch changes nothing. With
-    ``snapshot`` an empty store starts from that snapshot if ``restore`` is set, and ``sync`` saves
-    a new one after every micro-batch; a failing save is logged and the stream goes on. ``rejects``
-    gets the refused rows of each micro-batch.
+    """Apply a stream of updates to the store below ``target``; ``decode`` turns its rows into checked updates.
+
+    ``batch_documents``, ``single_documents`` and ``text_updates`` are the decoders. A document is
+    applied whole or not at all, and a replayed micro-batch changes nothing. With ``snapshot`` an
+    empty store starts from that snapshot if ``restore`` is set; ``sync`` saves a new one after
+    every micro-batch, ``save_every`` once so many seconds have passed since the last. A failing
+    save is logged and the stream goes on. ``rejects`` gets the refused rows of each micro-batch
+    that has not been applied yet.
     """
     spark = docs.sparkSession
     store = open_store(spark, target)
     if snapshot and restore and store.is_new():
         store.restore(load_snapshot(spark, snapshot), F.current_timestamp().cast("timestamp_ntz"))
 
+    saved = time.monotonic()
+
     def apply(batch: DataFrame, epoch: int) -> None:
-        checked = decode_batches(batch)
+        nonlocal saved
+        if epoch <= store.applied():
+            return
+        checked = decode(batch)
         if rejects is not None:
             rejects(checked.where(F.col("error").isNotNull()), epoch)
-        updates = valid(checked).withColumn("seq", pack_order(F.col("batch_id"), F.col("pos")))
-        if store.apply(updates, epoch) and snapshot and sync:
+        store.apply(valid(checked), epoch)
+        due = save_every is not None and time.monotonic() - saved >= save_every
+        if snapshot and (sync or due):
+            saved = time.monotonic()
             _try_save(store, snapshot)
 
     return (

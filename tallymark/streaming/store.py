@@ -76,7 +76,8 @@ class StateStore:
     def compact(self) -> None:
         epoch = self.applied()
         if epoch >= 0:
-            self._write(self.full, self.read(), epoch)
+            # by ranges, so that a point lookup opens the one file that may hold its key
+            self._write(self.full, self.read().repartitionByRange(*S.KEY), epoch)
 
     def expire(self, keep: int = 2) -> None:
         """Delete what lies before the newest ``keep`` full versions."""
