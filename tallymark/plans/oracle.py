@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from tallymark import schema as S
 from tallymark.plans import views
 
 
@@ -56,8 +57,8 @@ _WITH = {
         ("typed_checked",),
     ),
     "samples_long": (
-        """SELECT poll_id, ts, unnest(['Alloc', 'Frees', 'GCCPUFraction', 'HeapAlloc']) AS name,
-            unnest([Alloc, Frees, GCCPUFraction, HeapAlloc]) AS value FROM samples""",
+        f"""SELECT poll_id, ts, unnest([{', '.join(f"'{n}'" for n in S.RUNTIME_NAMES)}]) AS name,
+            unnest([{', '.join(S.RUNTIME_NAMES)}]) AS value FROM samples""",
         ("samples",),
     ),
     "samples_finite": (

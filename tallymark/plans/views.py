@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tallymark import schema as S
+
 # Ordered text updates, in batches of 20, from `events`.
 RAW = {
     "seq": "event_id",
@@ -75,6 +77,7 @@ SAMPLES = {
     "Frees": "CASE WHEN event_id % 50 = 0 THEN CAST('Infinity' AS DOUBLE) ELSE CAST(user_id AS DOUBLE) END",
     "GCCPUFraction": "CASE WHEN event_id % 50 = 1 THEN CAST('NaN' AS DOUBLE) ELSE value END",
 }
+SAMPLES |= {name: f"value + {i}" for i, name in enumerate(S.RUNTIME_NAMES) if name not in SAMPLES}
 
 # A gauge per customer and a counter per part: many keys. Only gauges need a unique order.
 WIDE_GAUGES = {

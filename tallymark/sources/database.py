@@ -120,10 +120,11 @@ def upsert_table(
 ) -> None:
     """Merge folded rows ``(id, type, name, value, delta)``, one per key, into the state table.
 
+    Only the rows, one per key, are brought to so few tasks; the fold before keeps its own parallelism.
     ``connect`` opens a DB-API connection and runs on the executors, at most ``connections`` at a
     time. With ``add_counters`` off both kinds are replaced. An epoch that was applied is skipped.
     """
-    folded.coalesce(connections).foreachPartition(lambda rows: stage_rows(rows, connect, table, epoch, mark))
+    folded.repartition(connections).foreachPartition(lambda rows: stage_rows(rows, connect, table, epoch, mark))
 
     def merge(cursor) -> None:
         cursor.execute(f"INSERT INTO {table}_applied (epoch) VALUES ({mark}) ON CONFLICT (epoch) DO NOTHING", (epoch,))
