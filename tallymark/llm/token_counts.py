@@ -38,15 +38,15 @@ class Trie:
     ``unknown`` score. At ``limit`` nodes the trie starts anew, which costs time but changes no count.
     """
 
-    def __init__(self, scores: dict[str, float], unknown: float | None = None, limit: int = 400_000):
+    def __init__(self, scores: dict[str, float], unknown: float | None = None, limit: int = 700_000):
         self.scores = scores
-        self.longest = max(map(len, scores), default=1)
+        self.suffixes = {piece[i:] for piece in scores for i in range(len(piece))}
         self.unknown = min(scores.values(), default=0.0) - 10 if unknown is None else unknown
         self.limit = limit
         self._clear()
 
     def _clear(self) -> None:
-        self.child: dict[tuple[int, str], int] = {}
+        self.child: dict[int, int] = {}  # by node and code point
         self.score, self.tokens = [0.0], [0]
         self.terminal: dict[str, int] = {}
 
@@ -62,9 +62,10 @@ class Trie:
     def _insert(self, word: str) -> int:
         nodes, node = [0], 0
         for end, char in enumerate(word, 1):
-            to = self.child.get((node, char))
+            key = node << 21 | ord(char)
+            to = self.child.get(key)
             if to is None:
-                to = self.child[node, char] = len(self.score)
+                to = self.child[key] = len(self.score)
                 score, tokens = self._forward(word, end, nodes)
                 self.score.append(score)
                 self.tokens.append(tokens)
@@ -74,19 +75,22 @@ class Trie:
 
     def _forward(self, word: str, end: int, nodes: list[int]) -> tuple[float, int]:
         best, count = -math.inf, 0
-        for start in range(max(0, end - self.longest), end):
-            piece = self.scores.get(word[start:end])
-            if piece is None:
-                if start < end - 1:
-                    continue
+        for start in range(end - 1, -1, -1):
+            part = word[start:end]
+            piece = self.scores.get(part)
+            if piece is None and start == end - 1:
                 piece = self.unknown
+            elif part not in self.suffixes:
+                break  # no longer piece ends here either
+            elif piece is None:
+                continue
             score, tokens = self.score[nodes[start]] + piece, self.tokens[nodes[start]] + 1
             if score > best or score == best and tokens < count:
                 best, count = score, tokens
         return best, count
 
 
-def token_counts(documents: DataFrame, scores: dict[str, float], text: str = "text", limit: int = 400_000) -> DataFrame:
+def token_counts(documents: DataFrame, scores: dict[str, float], text: str = "text", limit: int = 700_000) -> DataFrame:
     """All columns of ``documents`` and ``n_words`` and ``n_tokens``; columns of these names are replaced.
 
     Words are runs without ASCII white space, each with the start mark before it. A null or empty text has no words
