@@ -58,7 +58,7 @@ class WordEncoder:
                 fresh = {}
         if not fresh:
             return [b"".join(map(known.__getitem__, words)) for words in split]
-        return [b"".join([known.get(w) or fresh[w] for w in words]) for words in split]
+        return [b"".join([known[w] if w in known else fresh[w] for w in words]) for words in split]
 
     def _encode(self, words: set[bytes]) -> dict[bytes, bytes]:
         plain = [w for w in words if w.isalpha() and w.islower()]

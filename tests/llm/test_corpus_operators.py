@@ -34,6 +34,14 @@ def test_word_encoder_matches_the_tokenizer(rows):
             assert [np.frombuffer(x, encoder.dtype).tolist() for x in got] == [ids_of(t) for t in texts]
 
 
+def test_word_encoder_keeps_words_without_ids_when_full():
+    texts = ["a \u00a0 b", "one two three", "later \u00a0 words \u3000 here", "a \u2028 b"]
+    encoder = tokens.WordEncoder(TOKENIZER, 4)  # the first text fits, later words do not
+    for text in texts:
+        assert np.frombuffer(encoder.texts([text.encode()])[0], encoder.dtype).tolist() == ids_of(text)
+    assert encoder.words["\u00a0".encode()] == b"" and len(encoder.words) <= 4
+
+
 def check_pieces(got, want_ids, length):
     """Every id in exactly one piece, sequences without gaps, all full but the last."""
     docs, sequences = defaultdict(list), defaultdict(list)
