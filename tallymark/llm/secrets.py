@@ -7,10 +7,13 @@ cost almost nothing, while key material costs close to its entropy.
 
 from __future__ import annotations
 
+import json
 import re
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
 from dataclasses import dataclass
+from pathlib import Path
 
+import public_tokenizers
 import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -48,6 +51,21 @@ IDENTIFIERS = (
 )
 
 
+def known_names(vocabulary: str) -> str:
+    """The words of a tokenizer's vocabulary, frequent ones last, and ``IDENTIFIERS`` as parts of paths and names.
+
+    Every candidate is measured, so long words must be as cheap as identifiers; key material stays new.
+    """
+    ranks = json.loads(Path(vocabulary).read_text())["model"]["vocab"]
+    by_rank = sorted(ranks, key=lambda w: (-ranks[w], w))
+    own = dict.fromkeys(w.removesuffix("</w>") for w in by_rank)
+    words = [f"{w.capitalize()} {w}" for w in own if len(w) >= 5 and w.isascii() and w.isalpha()]
+    return " ".join([*words, *(IDENTIFIERS.replace(" ", x) for x in "-./_"), IDENTIFIERS])
+
+
+DICTIONARY = known_names(public_tokenizers.path("word_bpe_49k.json"))
+
+
 @dataclass(frozen=True)
 class Novelty:
     """A candidate is reported if it adds at least ``least`` bytes and ``per_char`` bytes a character.
@@ -60,7 +78,7 @@ class Novelty:
     per_char: float = 0.55
     reach: int = 64
     around: int = 256
-    dictionary: str = IDENTIFIERS
+    dictionary: str = DICTIONARY
     level: int = 3
 
 
@@ -69,6 +87,7 @@ class Meter:
 
     def __init__(self, rules: Novelty):
         known = zstandard.ZstdCompressionDict(rules.dictionary.encode(), dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+        known.precompute_compress(level=rules.level)
         self.zstd = zstandard.ZstdCompressor(level=rules.level, dict_data=known, write_content_size=False)
 
     def size(self, text: str) -> int:
@@ -96,31 +115,50 @@ def _has(raw: bytes, stems: Iterable[bytes]) -> bool:
 
 
 def novel_spans(text: str, taken: Iterable[tuple[int, int, int]], rules: Novelty, meter: Meter) -> list[tuple[int, int, int]]:
-    """(start, kind, end) of incompressible strings near a sensitive word that no span of ``taken`` touches.
+    """(start, kind, end) of incompressible strings near a sensitive word, without what spans of ``taken`` cover.
 
-    Only the ``reach`` characters after a sensitive word can hold the start of a candidate, so only they are searched.
+    Each run of candidate characters that starts at most ``reach`` after a sensitive word is cut at the spans of
+    ``taken`` and at sensitive words, and each part is measured. One pass over the text.
     """
-    taken, found, done = list(taken), [], 0
+    found: list[tuple[int, int, int]] = []
     if not _has(text.encode("utf-8", "replace"), STEMS):
         return found
-    for word in SENSITIVE.finditer(text):
-        for m in CANDIDATE.finditer(text, max(word.end(), done)):
-            if m.start() > word.end() + rules.reach:
-                break
-            done = m.end()
-            start, end = m.span()
-            if not _mixed(m[0]) or any(s < end and start < e for s, _, e in taken):
+    words = [m.span() for m in SENSITIVE.finditer(text)]
+    cuts = _union([*((s, e) for s, _, e in taken), *words])
+    near = cut = 0
+    for m in CANDIDATE.finditer(text) if words else ():
+        start, last = m.span()
+        while near < len(words) and words[near][1] + rules.reach < start:
+            near += 1
+        if near == len(words):
+            break
+        if words[near][1] > last:
+            continue
+        while cut < len(cuts) and cuts[cut][1] <= start:
+            cut += 1
+        edges, k = [start], cut
+        while k < len(cuts) and cuts[k][0] < last:
+            edges += cuts[k]
+            k += 1
+        edges.append(last)
+        for start, end in zip(edges[::2], edges[1::2], strict=True):
+            if start >= end:
                 continue
-            cost = meter.marginal(text[max(0, start - rules.around) : start], m[0], text[end : end + rules.around])
+            cost = meter.marginal(text[max(0, start - rules.around) : start], text[start:end], text[end : end + rules.around])
             if cost >= rules.least and cost >= rules.per_char * (end - start):
                 found.append((start, 3, end))
     return found
 
 
-def _mixed(s: str) -> bool:
-    """Key material mixes digits and letters; words, numbers and paths of words do not."""
-    digits = sum(c.isdigit() for c in s)
-    return digits >= 2 and sum(c.isalpha() for c in s) >= 2
+def _union(spans: list[tuple[int, int]]) -> list[list[int]]:
+    """Disjoint spans that cover the same places, in order."""
+    out: list[list[int]] = []
+    for start, end in sorted(spans):
+        if out and start <= out[-1][1]:
+            out[-1][1] = max(out[-1][1], end)
+        else:
+            out.append([start, end])
+    return out
 
 
 def all_spans(text: str, rules: Novelty, meter: Meter) -> list[tuple[int, int, int]]:
@@ -136,33 +174,43 @@ def secrets(documents: DataFrame, rules: Novelty = Novelty(), text: str = "text"
     no secrets. Whole texts are searched, row by row; nothing is shuffled, and memory holds one batch.
     """
 
-    def scan(cols: Lists) -> Lists:
-        meter, out = Meter(rules), []
-        for raw in cols[text]:
-            spans = all_spans(raw.decode("utf-8", "replace") if raw else "", rules, meter)
-            out.append([{"kind": KINDS[k], "start": s, "end": e} for s, k, e in spans])
-        return {"secrets": out}
+    def start() -> Callable[[Lists], Lists]:
+        meter = Meter(rules)
+
+        def scan(cols: Lists) -> Lists:
+            out = []
+            for raw in cols[text]:
+                spans = all_spans(raw.decode("utf-8", "replace") if raw else "", rules, meter)
+                out.append([{"kind": KINDS[k], "start": s, "end": e} for s, k, e in spans])
+            return {"secrets": out}
+
+        return scan
 
-    return add_columns(documents, [text], scan, f"secrets {SPAN}")
+    return add_columns(documents, [text], start, f"secrets {SPAN}", per_task=True)
 
 
 def redact(documents: DataFrame, rules: Novelty = Novelty(), text: str = "text", mark: str = "[secret]") -> DataFrame:
     """``documents`` with each run of overlapping secrets replaced by ``mark``; texts without one stay as they are."""
 
-    def clean(cols: Lists) -> Lists:
-        meter, out = Meter(rules), []
-        for raw in cols[text]:
-            body = None if raw is None else raw.decode("utf-8", "replace")
-            parts, at = [], 0
-            for start, _, end in all_spans(body or "", rules, meter):
-                if start >= at:
-                    parts += [body[at:start], mark]
-                at = max(at, end)
-            out.append("".join(parts) + body[at:] if parts else body)
-        return {text: out}
+    def start() -> Callable[[Lists], Lists]:
+        meter = Meter(rules)
+
+        def clean(cols: Lists) -> Lists:
+            out = []
+            for raw in cols[text]:
+                body = None if raw is None else raw.decode("utf-8", "replace")
+                parts, at = [], 0
+                for first, _, end in all_spans(body or "", rules, meter):
+                    if first >= at:
+                        parts += [body[at:first], mark]
+                    at = max(at, end)
+                out.append("".join(parts) + body[at:] if parts else body)
+            return {text: out}
+
+        return clean
 
     columns = [f"`{c}`" for c in documents.columns]
-    return add_columns(documents, [text], clean, f"`{text}` string").select(*columns)
+    return add_columns(documents, [text], start, f"`{text}` string", per_task=True).select(*columns)
 
 
 def listing(spans: Column) -> Column:

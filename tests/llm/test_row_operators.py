@@ -99,6 +99,29 @@ def test_novel_strings_near_sensitive_words_only(spark):
     assert clean[0] == "Authorization: Bearer [secret]" and clean[1] == texts[1] and clean[2] == texts[2]
 
 
+def novel(text):
+    rules = secrets.Novelty()
+    return [text[s:e] for s, _, e in secrets.novel_spans(text, secrets.base_spans(text), rules, secrets.Meter(rules))]
+
+
+def test_every_candidate_is_measured():
+    rng = random.Random(5)
+    for length in (12, 16, 20, 32):
+        for _ in range(100):
+            key = base64.b64encode(rng.randbytes(length)).decode()[:length]
+            assert novel(f"Authorization: Bearer {key}\n") == [key]
+    letters = "qGkZyRmXvTbLpWnYcHsJdFgQeUiOaKtM"
+    assert novel(f"Authorization: Bearer {letters}") == [letters]
+    assert novel("the signature of the representative and the characteristics of implementation") == []
+
+
+def test_parts_outside_base_spans_are_reported(spark):
+    text = "Bearer v1.0123456789abcdef0123.QmFzZTY0U2lnbmF0dXJl end"
+    assert novel(text) == [".QmFzZTY0U2lnbmF0dXJl"]
+    df = spark.createDataFrame([(text,)], "text string")
+    assert secrets.redact(df).first()["text"] == "Bearer v1.[secret][secret] end"
+
+
 def test_known_strings_cost_less_than_new_ones():
     meter = secrets.Meter(secrets.Novelty())
     key = "q7RkZ2m9XvT4bLp8WnYc3HsJ6dFg"
