@@ -27,14 +27,15 @@ ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 HEX = re.compile(r"[0-9a-f]{16,}")  # a greedy run, so the same matches as of all runs with the short ones dropped
 #: Lower-case stems without which the patterns above, or the sensitive words below, cannot match: cheap to look for.
 ASSIGN_STEMS = (b"passw", b"secret", b"token", b"api")
-STEMS = (*ASSIGN_STEMS, b"passphrase", b"key", b"credential", b"authoriz", b"bearer", b"signature", b"client_id", b"session")
+STEMS = (*ASSIGN_STEMS, b"passphrase", b"key", b"credential", b"authoriz", b"bearer", b"signature", b"client", b"session")
 IS_HEX = bytes(chr(b) in "0123456789abcdef" for b in range(256))
 KINDS = ("assign", "access", "hex", "novel")
 SPAN = "array<struct<kind:string,start:int,end:int>>"
 
 CANDIDATE = re.compile(r"[A-Za-z0-9+/_.=~-]{12,}")
 SENSITIVE = re.compile(
-    r"password|passwd|passphrase|secret|token|api_?key|access_?key|private_?key|credential|authorization|bearer|signature|client_id|session_?id",
+    r"password|passwd|passphrase|secret|token|api[-_ ]?key|access[-_ ]?key|private[-_ ]?key|credential|authorization|bearer|signature"
+    r"|client[-_ ]?id|session[-_ ]?id",
     re.IGNORECASE | re.ASCII,
 )
 #: Names that occur in code everywhere; with them as history a compressor finds them free of charge.
@@ -70,7 +71,7 @@ DICTIONARY = known_names(public_tokenizers.path("word_bpe_49k.json"))
 class Novelty:
     """A candidate is reported if it adds at least ``least`` bytes and ``per_char`` bytes a character.
 
-    ``reach``: characters before it in which a sensitive word must stand. ``around``: characters on each side that
+    ``reach``: characters before or behind it in which a sensitive word must stand. ``around``: characters on each side that
     count as its surroundings. ``dictionary``: more names that count as known.
     """
 
@@ -117,7 +118,7 @@ def _has(raw: bytes, stems: Iterable[bytes]) -> bool:
 def novel_spans(text: str, taken: Iterable[tuple[int, int, int]], rules: Novelty, meter: Meter) -> list[tuple[int, int, int]]:
     """(start, kind, end) of incompressible strings near a sensitive word, without what spans of ``taken`` cover.
 
-    Each run of candidate characters that starts at most ``reach`` after a sensitive word is cut at the spans of
+    Each run of candidate characters at most ``reach`` before or behind a sensitive word is cut at the spans of
     ``taken`` and at sensitive words, and each part is measured. One pass over the text.
     """
     found: list[tuple[int, int, int]] = []
@@ -132,7 +133,7 @@ def novel_spans(text: str, taken: Iterable[tuple[int, int, int]], rules: Novelty
             near += 1
         if near == len(words):
             break
-        if words[near][1] > last:
+        if words[near][0] > last + rules.reach:
             continue
         while cut < len(cuts) and cuts[cut][1] <= start:
             cut += 1

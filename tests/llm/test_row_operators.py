@@ -122,6 +122,14 @@ def test_parts_outside_base_spans_are_reported(spark):
     assert secrets.redact(df).first()["text"] == "Bearer v1.[secret][secret] end"
 
 
+@pytest.mark.parametrize("name", ["X-API-Key", "api key", "access-key", "private key", "private-key", "client-id", "client id", "clientid", "session-id"])
+def test_sensitive_words_in_all_spellings_and_on_both_sides(name):
+    key = "Zk3qR7mX9vT4bLp8WnYc"
+    assert novel(f"{name}: {key}") == [key]
+    assert novel(f"{key} is the {name}") == [key]
+    assert novel(f"{key}{' far' * 17} {name}") == []
+
+
 def test_known_strings_cost_less_than_new_ones():
     meter = secrets.Meter(secrets.Novelty())
     key = "q7RkZ2m9XvT4bLp8WnYc3HsJ6dFg"
