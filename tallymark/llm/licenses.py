@@ -1,8 +1,8 @@
 """License scans: patience alignment of texts with license templates.
 
 Words that occur once in a text and once in a template are anchors. The longest run of anchors in the same order in
-both is kept, and the gaps between them are aligned in the same way; the share of the template's words that find
-their place is its coverage.
+both is kept, and the gaps between them are aligned in the same way, those without anchors by a longest common
+subsequence; the share of the template's words that find their place is its coverage.
 """
 
 from __future__ import annotations
@@ -10,6 +10,7 @@ from __future__ import annotations
 import re
 from bisect import bisect_left
 from collections import Counter
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
@@ -64,8 +65,41 @@ def increasing(values: list[int]) -> list[int]:
     return found[::-1]
 
 
+def _columns(a: Sequence[bytes], b: Sequence[bytes]) -> list[int]:
+    """Bit i of the j-th is 0 where a[i] makes the longest common subsequence of a[: i + 1] and b[: j + 1] longer."""
+    where: dict[bytes, int] = {}
+    for i, w in enumerate(a):
+        where[w] = where.get(w, 0) | 1 << i
+    full = column = (1 << len(a)) - 1
+    out = []
+    for w in b:
+        same = column & where.get(w, 0)
+        column = (column + same | column - same) & full
+        out.append(column)
+    return out
+
+
+def common_lengths(a: Sequence[bytes], b: Sequence[bytes]) -> list[int]:
+    """Words of the longest common subsequence of ``a`` and each beginning of ``b``."""
+    return [len(a) - column.bit_count() for column in _columns(a, b)]
+
+
+def common(a: Sequence[bytes], b: Sequence[bytes]) -> list[tuple[int, int]]:
+    """Position pairs of a longest common subsequence."""
+    columns, pairs, i, j = _columns(a, b), [], len(a), len(b)
+    while i and j:
+        if columns[j - 1] >> (i - 1) & 1:
+            i -= 1
+            continue
+        j -= 1
+        if not j or columns[j - 1] >> (i - 1) & 1:
+            i -= 1
+            pairs.append((i, j))
+    return pairs[::-1]
+
+
 def align(a: list[bytes], b: list[bytes]) -> list[tuple[int, int]]:
-    """Position pairs of equal words, rising in both. Gaps without anchors keep their common ends only."""
+    """Position pairs of equal words, rising in both."""
     pairs, todo = [], [(0, len(a), 0, len(b))]
     while todo:
         a0, a1, b0, b1 = todo.pop()
@@ -82,6 +116,7 @@ def align(a: list[bytes], b: list[bytes]) -> list[tuple[int, int]]:
         anchors = [(i, where[w]) for i, w in enumerate(a[a0:a1], a0) if in_a[w] == 1 and w in where]
         kept = [anchors[i] for i in increasing([y for _, y in anchors])]
         if not kept:
+            pairs += [(a0 + i, b0 + j) for i, j in common(a[a0:a1], b[b0:b1])]
             continue
         pairs += kept
         edges = [(a0 - 1, b0 - 1), *kept, (a1, b1)]
@@ -113,30 +148,55 @@ class Template:
     def find(self, text: list[bytes]) -> list[tuple[int, int, float]]:
         """(first word, end, coverage) of the places in a text that cover the template, none overlapping.
 
-        A place is looked for in windows of twice the template's length that overlap by half, so that words from
-        all over a long text do not add up.
+        A place is looked for in the two template lengths behind each word of the template, so that words from all
+        over a long text do not add up, and it does not matter where in the text it starts. The next place is looked
+        for from the end of a found one.
         """
-        size, own, many = len(self.words), set(self.words), Counter(self.words)
-        hits = [i for i, w in enumerate(text) if w in own]
-        found, at = [], 0
-        for start in range(0, max(1, len(text)), size):
-            low, high = start, start + 2 * size
-            while at < len(hits) and hits[at] < low:
-                at += 1
-            held, k = Counter(), at
-            while k < len(hits) and hits[k] < high:
-                held[text[hits[k]]] += 1
-                k += 1
-            if sum((held & many).values()) < self.least * size:
-                continue
-            pairs = align(list(self.words), text[low:high])
-            if len(pairs) >= self.least * size:
-                found.append((low + pairs[0][1], low + pairs[-1][1] + 1, len(pairs) / size))
-        best: list[tuple[int, int, float]] = []
-        for place in sorted(found, key=lambda x: (-x[2], x[0])):
-            if all(place[1] <= s or e <= place[0] for s, e, _ in best):
-                best.append(place)
-        return sorted(best)
+        size, many = len(self.words), Counter(self.words)
+        hits = [i for i, w in enumerate(text) if w in many]
+        found: list[tuple[int, int, float]] = []
+        held: Counter = Counter()
+        both = first = last = 0  # template words in the window, its first hit and the one behind it
+        while first < len(hits):
+            low = hits[first]
+            while last < len(hits) and hits[last] < low + 2 * size:
+                w = text[hits[last]]
+                held[w] += 1
+                both += held[w] <= many[w]
+                last += 1
+            place = self._place(text, low) if both >= self.least * size else None
+            if place:
+                found.append(place)
+            after = place[1] if place else low + 1
+            while first < len(hits) and hits[first] < after:
+                if first == last:  # a place may end behind the window
+                    last += 1
+                else:
+                    w = text[hits[first]]
+                    both -= held[w] <= many[w]
+                    held[w] -= 1
+                first += 1
+        return found
+
+    def _place(self, text: list[bytes], low: int) -> tuple[int, int, float] | None:
+        """The first place in the window from ``low``: the shortest that covers enough, grown while a quarter of what is
+        added are words of the template, so that it does not reach into the next copy."""
+        size, own = len(self.words), list(self.words)
+        need = self.least * size
+        ahead = common_lengths(own, text[low : low + 2 * size])
+        if ahead[-1] < need:
+            return None
+        end = low + 1 + next(i for i, n in enumerate(ahead) if n >= need)
+        back = common_lengths(own[::-1], text[low:end][::-1])
+        start = end - 1 - next(i for i, n in enumerate(back) if n >= need)
+        ahead = common_lengths(own, text[start : start + 2 * size])
+        end = start + 1 + max(range(end - start - 1, len(ahead)), key=lambda i: (4 * ahead[i] - i, -i))
+        back = common_lengths(own[::-1], text[max(low, end - 2 * size) : end][::-1])
+        start = end - 1 - max((i for i, n in enumerate(back) if n >= need), key=lambda i: (4 * back[i] - i, -i))
+        pairs = align(own, text[start:end])
+        if len(pairs) < need:
+            return None
+        return start + pairs[0][1], start + pairs[-1][1] + 1, len(pairs) / size
 
 
 def scan(documents: DataFrame, templates: dict[str, str] = NOTICES, least: float = 0.8, text: str = "text") -> DataFrame:

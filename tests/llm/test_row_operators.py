@@ -211,6 +211,39 @@ def test_license_places_and_coverage(spark, empty):
     assert licenses.scan(empty).count() == 0
 
 
+@pytest.mark.parametrize("name", ["MIT", "Apache-2.0", "MIT-text"])
+def test_copies_back_to_back_are_all_found(name):
+    t = licenses.Template.of(name, licenses.NOTICES[name], 0.8)
+    size = len(t.words)
+    for before in range(12):
+        got = t.find([b"other"] * before + list(t.words) * 4 + [b"other"])
+        assert got == [(before + k * size, before + (k + 1) * size, 1.0) for k in range(4)]
+
+
+def test_insertions_are_found_at_every_offset():
+    t = licenses.Template.of("MIT-text", licenses.NOTICES["MIT-text"], 0.8)
+    rng = random.Random(7)
+    kept = sorted(rng.sample(range(len(t.words)), int(0.88 * len(t.words))))
+    edited = [t.words[i] for i in kept]
+    for _ in range(int(0.4 * len(t.words))):
+        edited.insert(rng.randrange(len(edited)), b"inserted")
+    found = {tuple((s - before, e - before, c) for s, e, c in t.find([b"other"] * before + edited + [b"other"] * 400)) for before in range(0, 400, 7)}
+    assert len(found) == 1 and [c for *_, c in found.pop()] == [len(kept) / len(t.words)]
+
+
+def test_common_subsequences_match_brute_force():
+    rng = random.Random(8)
+    for _ in range(200):
+        a, b = ([str(rng.randrange(4)).encode() for _ in range(rng.randrange(12))] for _ in range(2))
+        table = [[0] * (len(b) + 1) for _ in range(len(a) + 1)]
+        for i, x in enumerate(a):
+            for j, y in enumerate(b):
+                table[i + 1][j + 1] = table[i][j] + 1 if x == y else max(table[i][j + 1], table[i + 1][j])
+        pairs = licenses.common(a, b)
+        assert len(pairs) == table[-1][-1] and licenses.common_lengths(a, b) == table[-1][1:]
+        assert all(a[i] == b[j] for i, j in pairs) and all(x < x2 and y < y2 for (x, y), (x2, y2) in zip(pairs, pairs[1:]))
+
+
 def test_alignment_is_rising_and_equal():
     rng = random.Random(3)
     for _ in range(200):
