@@ -13,11 +13,13 @@ from tallymark import schema as S
 from tallymark.operators.fold import fold_state
 from tallymark.operators.validate import blank, check_snapshot, require
 
-_BEFORE_ALL = -(2**63)
+#: Wide enough for ``pack_order`` of every batch.
+_ORDER = "decimal(38,0)"
+_BEFORE_ALL = str(-(10**38 - 1))
 
 
 def _columns(state: DataFrame, order: Column) -> DataFrame:
-    return state.select(*S.KEY, "value", "delta", order.cast("bigint").alias("seq"))
+    return state.select(*S.KEY, "value", "delta", order.cast(_ORDER).alias("seq"))
 
 
 def upsert(state: DataFrame, updates: DataFrame, order: str = "seq", overflow: str = "error") -> DataFrame:

@@ -107,6 +107,17 @@ def test_pack_order_sorts_and_guards(spark):
             spark.createDataFrame([odd], "b bigint, p bigint").select(tm.pack_order(F.col("b"), F.col("p"))).collect()
 
 
+def test_merges_keep_packed_orders_of_any_batch(spark):
+    rows = [(b, p, "gauge", "a", float(v), None) for b, p, v in ((1_700_000_000_000, 1, 2), (1_700_000_000_000, 0, 1), (-(2**63), 5, 0))]
+    new = spark.createDataFrame(rows, "batch_id bigint, pos int, " + STATE).withColumn("seq", tm.pack_order(F.col("batch_id"), F.col("pos")))
+    state = spark.createDataFrame([("gauge", "a", 9.0, None), ("counter", "c", None, 3)], STATE)
+    low = new.where("batch_id < 0")
+    snapshot = new.withColumnRenamed("name", "id")
+    for merged in (tm.upsert(state, new), tm.replace(state, new, "seq"), tm.merge_add(state, snapshot, "seq"), tm.restore(state, snapshot, "seq")):
+        assert {(r.name, r.value, r.delta) for r in merged.collect()} == {("a", 2.0, None), ("c", None, 3)}
+    assert {(r.name, r.value) for r in tm.upsert(state, low).collect()} == {("a", 0.0), ("c", None)}
+
+
 def test_a_gauge_without_an_order_fails(spark):
     rows = updates(spark, gauge("a", 1), counter("c", 5)).withColumn("seq", F.when(F.col("type") == "counter", F.col("seq")))
     for fold in (tm.fold_state, tm.fold_gauges):
