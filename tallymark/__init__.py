@@ -1,6 +1,6 @@
 """Metric update logs on Spark: check, fold, merge, query, snapshot and report them."""
 
-from tallymark.operators.fold import fold_counters, fold_gauges, fold_ids, fold_state, latest_rows, pack_order
+from tallymark.operators.fold import fold_counters, fold_gauges, fold_ids, fold_state, fold_uuids, latest_rows, pack_order
 from tallymark.operators.ids import assign_ids
 from tallymark.operators.merge import key_violations, merge_add, rename, replace, restore, to_snapshot, upsert
 from tallymark.operators.quality import quality_report
@@ -8,6 +8,7 @@ from tallymark.operators.query import (
     list_counters,
     list_gauges,
     list_state,
+    lookup_json,
     lookup_many,
     lookup_point,
     lookup_typed,
@@ -36,6 +37,8 @@ from tallymark.operators.validate import (
     valid,
 )
 from tallymark.session import session
+from tallymark.sources.arrays import join_parts, save_array
+from tallymark.sources.metric_table import register as register_table
 from tallymark.sources.samples import collect_samples, normalize_samples, poll_count, unpivot_samples
 from tallymark.sources.snapshots import load_snapshot, save_snapshot
 from tallymark.sources.updates import (
@@ -45,5 +48,5 @@ from tallymark.sources.updates import (
     read_documents,
     updates_from_uris,
 )
-from tallymark.streaming.jobs import finish, open_store, read_fold, run_fold, run_upsert
+from tallymark.streaming.jobs import finish, open_store, read_fold, read_whole_batches, run_fold, run_upsert, run_whole_batches
 from tallymark.streaming.store import StateStore

@@ -163,9 +163,24 @@ def parse_operands(rows: DataFrame, kind: str = "type", raw: str = "raw_value")
     return parsed.withColumn("value", F.when(gauge, float_value(F.col("literal"), text))).drop("literal")
 
 
+def exact_sum(delta: str) -> Column:
+    """Sum of BIGINTs as a DECIMAL(38,0), which 10^19 of them cannot overflow."""
+    return F.sum(F.col(delta).cast("decimal(28,0)"))
+
+
+def as_bigint(total: Column, overflow: str) -> Column:
+    """An exact total as BIGINT: ``overflow='error'`` fails beyond its range, ``'wrap'`` goes modulo 2^64."""
+    if overflow not in ("error", "wrap"):
+        raise ValueError(f"unknown overflow mode {overflow!r}")
+    half = F.lit(str(2**63)).cast("decimal(20,0)")
+    if overflow == "wrap":
+        full = F.lit(str(2**64)).cast("decimal(20,0)")
+        return (F.pmod(total + half, full) - half).cast("bigint")
+    fits = (total >= -half) & (total < half)
+    failed = F.raise_error(F.lit("counter overflow")).cast("bigint")
+    return F.when(total.isNull() | fits, total.try_cast("bigint")).otherwise(failed)
+
+
 def wrapping_sum(v: Column) -> Column:
     """Sum of BIGINTs modulo 2^64, as two's-complement addition gives it."""
-    total = F.sum(v.cast("decimal(28,0)"))
-    half = F.lit(str(2**63)).cast("decimal(20,0)")
-    full = F.lit(str(2**64)).cast("decimal(20,0)")
-    return (F.pmod(total + half, full) - half).cast("bigint")
+    return as_bigint(F.sum(v.cast("decimal(28,0)")), "wrap")

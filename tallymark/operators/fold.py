@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tallymark import schema as S
 from tallymark.functions.numbers import wrapping_sum
+from tallymark.functions.uuids import uuid_high, uuid_low, uuid_text
 
 # Positions inside a batch lie below this.
 POSITIONS = 2**31
@@ -47,11 +48,13 @@ def fold_state(
     order: str = "seq",
     overflow: str = "error",
     ts: str | None = None,
+    ids: str | None = None,
 ) -> DataFrame:
     """State ``(type, name, value, delta)`` of valid updates; ``order`` must be unique per gauge.
 
     One hash aggregate with fixed-width buffers: a hot name shrinks to one row per task before the
-    shuffle. ``ts`` adds ``created_at`` / ``updated_at``.
+    shuffle. ``ts`` adds ``created_at`` / ``updated_at``; ``ids`` adds the ``id`` each key keeps, as
+    in ``fold_uuids``, and then ``order`` must be unique per key.
     """
     aggregates = [
         last_value(order).alias("value"),
@@ -59,7 +62,32 @@ def fold_state(
     ]
     if ts is not None:
         aggregates += [F.min(ts).alias("created_at"), F.max(ts).alias("updated_at")]
-    return updates.groupBy(*S.KEY).agg(*aggregates)
+    if ids is None:
+        return updates.groupBy(*S.KEY).agg(*aggregates)
+    return with_uuids(updates).groupBy(*S.KEY).agg(kept_uuid(order, ids).alias("id"), *aggregates)
+
+
+def with_uuids(updates: DataFrame) -> DataFrame:
+    """The ``id`` of every row as two BIGINTs, ``id_high`` and ``id_low``."""
+    return updates.withColumns({"id_high": uuid_high(F.col("id")), "id_low": uuid_low(F.col("id"))})
+
+
+def kept_uuid(order: str, ids: str) -> Column:
+    """The id a key keeps: the first one, or for gauges the last with ``ids='last'``; rows without an id do not count."""
+    if ids not in ("first", "last"):
+        raise ValueError(f"unknown id mode {ids!r}")
+    rank = F.when(F.col("id_high").isNotNull(), F.col(order))
+    first = uuid_text(F.min_by("id_high", rank), F.min_by("id_low", rank))
+    last = uuid_text(F.max_by("id_high", rank), F.max_by("id_low", rank))
+    return first if ids == "first" else F.when(F.col("type") == S.GAUGE, last).otherwise(first)
+
+
+def fold_uuids(updates: DataFrame, order: str = "seq", ids: str = "first") -> DataFrame:
+    """The UUID each key keeps: the first one, or for gauges the last with ``ids='last'``.
+
+    Ids travel as two BIGINTs each, so this is a hash aggregate like the fold; ``order`` must be unique per key.
+    """
+    return with_uuids(updates).groupBy(*S.KEY).agg(kept_uuid(order, ids).alias("id"))
 
 
 def fold_gauges(updates: DataFrame, order: str = "seq") -> DataFrame:
@@ -73,9 +101,9 @@ def fold_counters(updates: DataFrame, overflow: str = "error") -> DataFrame:
 
 
 def fold_ids(updates: DataFrame, order: str = "seq", gauge_id: str = "first") -> DataFrame:
-    """The id each key keeps: the first one, or for gauges the last with ``gauge_id='last'``.
+    """The id of any text each key keeps: the first one, or for gauges the last with ``gauge_id='last'``.
 
-    Kept apart from ``fold_state``: text buffers need a sort-based aggregate.
+    Text buffers need a sort-based aggregate; ``fold_uuids`` does without one.
     """
     if gauge_id not in ("first", "last"):
         raise ValueError(f"unknown gauge_id mode {gauge_id!r}")

@@ -6,9 +6,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallymark import schema as S
-from tallymark.functions.numbers import format_float, format_int
+from tallymark.functions.numbers import format_float, format_int, is_finite
 from tallymark.functions.text import html_escape
-from tallymark.operators.validate import status_code, unsupported
+from tallymark.operators.validate import blank, status_code, unsupported
 
 
 def shown_value(kind: Column, value: Column, delta: Column) -> Column:
@@ -72,3 +72,26 @@ def lookup_many(state: DataFrame, requests: DataFrame) -> DataFrame:
     """Bulk lookup with the operand as text."""
     text = shown_value(F.col("type"), F.col("value"), F.col("delta"))
     return lookup_typed(state, requests).withColumn("value", text).drop("delta")
+
+
+def lookup_json(state: DataFrame, requests: DataFrame) -> DataFrame:
+    """Answers to strict JSON lookups ``(type, name, error)``: ``payload`` is the metric as a JSON object, where there is
+    one, with its ``error`` and ``status``.
+
+    A request that could not be read keeps its error; then the type, the name and the key decide. JSON has no NaN or
+    infinity, so such a gauge is found but cannot be answered.
+    """
+    found = F.col("value").isNotNull() | F.col("delta").isNotNull()
+    error = (
+        F.when(F.col("error").isNotNull(), F.col("error"))
+        .when(unsupported(F.col("type")), F.lit(S.UNSUPPORTED_TYPE))
+        .when(blank(F.col("name")), F.lit(S.NAME_EMPTY))
+        .when(~found, F.lit(S.NOT_FOUND))
+        .when(F.col("value").isNotNull() & ~is_finite(F.col("value")), F.lit(S.NOT_FINITE))
+    )
+    answered = _matched(state, requests).withColumn("error", error)
+    item = F.struct(F.col("name").alias("id"), "type", "delta", "value")
+    refused = F.col("error").isin(S.NAME_EMPTY, S.MALFORMED_JSON)
+    status = F.when(refused, F.lit(S.STATUS[S.MALFORMED_JSON])).otherwise(status_code(F.col("error")))
+    payload = F.when(F.col("error").isNull(), F.to_json(item))
+    return answered.withColumns({"payload": payload, "status": status}).drop("value", "delta")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallymark import schema as S
@@ -155,17 +155,21 @@ def drop_rejected_batches(checked: DataFrame, batch: str = "batch_id") -> DataFr
 
     A row with a NULL batch is a batch of its own: it stays if it is valid.
 
-    The ids of bad batches are written out first. Their true size is then known to the optimizer,
-    which broadcasts them only below ``spark.sql.autoBroadcastJoinThreshold``: the log itself is
-    shuffled only when bad batches are too many for that, and then a batch too large for one task
-    is split by the adaptive skew join.
+    The checked rows are written once, so they are parsed once, and so are the ids of bad batches. Their true size
+    is then known to the optimizer, which broadcasts them only below ``spark.sql.autoBroadcastJoinThreshold``: the log
+    itself is shuffled only when bad batches are too many for that, and then a batch too large for one task is split
+    by the adaptive skew join. Streams use ``streaming.batches.whole_batches``.
     """
-    bad = checked.where(F.col("error").isNotNull() & F.col(batch).isNotNull()).select(batch).distinct()
     spark = checked.sparkSession
-    folder = shared_dir(spark, "bad-batches")
-    bad.write.parquet(folder)
-    bad = spark.read.schema(bad.schema).parquet(folder)
-    return valid(checked.join(bad, batch, "left_anti"))
+    rows = _written(spark, checked, "checked")
+    bad = rows.where(F.col("error").isNotNull() & F.col(batch).isNotNull()).select(batch).distinct()
+    return valid(rows.join(_written(spark, bad, "bad-batches"), batch, "left_anti"))
+
+
+def _written(spark: SparkSession, rows: DataFrame, label: str) -> DataFrame:
+    folder = shared_dir(spark, label)
+    rows.write.parquet(folder)
+    return spark.read.schema(rows.schema).parquet(folder)
 
 
 def finite_values(rows: DataFrame) -> Column:

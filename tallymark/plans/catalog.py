@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tallymark import schema as S
@@ -13,8 +13,10 @@ from tallymark.functions.stage import computed_once
 from tallymark.operators import fold, ids, merge, quality, query, report, validate
 from tallymark.plans import views
 from tallymark.session import shared_dir
+from tallymark.sources import arrays, metric_table
 from tallymark.sources import samples as sampling
 from tallymark.sources import snapshots, updates
+from tallymark.sources.files import file_system
 from tallymark.streaming import jobs
 from tallymark.streaming.store import StateStore
 
@@ -207,6 +209,15 @@ def fold_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fold.fold_ids(rows)
 
 
+def _identified(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ids.assign_ids(_valid(spark, sf_dir))
+
+
+@registered
+def fold_uuids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fold.fold_uuids(_identified(spark, sf_dir), ids="last")
+
+
 @registered
 def latest_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fold.latest_rows(_valid(spark, sf_dir)).drop("ts")
@@ -225,6 +236,13 @@ def state_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merge.upsert(_base(spark, sf_dir), _new(spark, sf_dir))
 
 
+@registered
+def state_upsert_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = _identified(spark, sf_dir)
+    base = fold.fold_state(rows.where(f"ts < {views.CUT}"), ts="ts", ids="first")
+    return merge.upsert(base, rows.where(f"ts >= {views.CUT}"), ts="ts", ids="first")
+
+
 @registered
 def state_upsert_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = views.updates_wide(spark, sf_dir)
@@ -312,6 +330,50 @@ def lookup_typed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return query.lookup_typed(_state(spark, sf_dir), views.lookup_requests(spark, sf_dir))
 
 
+@registered
+def lookup_json(spark: SparkSession, sf_dir: str) -> DataFrame:
+    asked = updates.decode_lookups(views.lookup_docs(spark, sf_dir)).drop("doc")
+    return query.lookup_json(_state(spark, sf_dir), asked).select("seq", "payload", "error", "status")
+
+
+# --- the relational table
+
+
+def _table(spark: SparkSession) -> dict[str, str]:
+    """A new database file in the shared folder; it is opened inside the tasks, and no server runs."""
+    metric_table.register(spark)
+    fs, folder = file_system(spark, shared_dir(spark, "table"))
+    fs.mkdirs(folder)
+    return {"database": f"{folder.toUri().getPath()}/metrics.db"}
+
+
+def _read_table(spark: SparkSession, options: dict[str, str]) -> DataFrame:
+    return spark.read.format(metric_table.FORMAT).options(**options).load().select(*STATE_COLUMNS)
+
+
+@registered
+def sink_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
+    options = _table(spark)
+    rows = _valid(spark, sf_dir).select("seq", "ts", *STATE_COLUMNS)
+    for epoch, delivery in enumerate((f"ts < {views.CUT}", f"ts >= {views.CUT}", f"ts >= {views.CUT}")):
+        repeated = {"stream": "log", "epoch": str(min(epoch, 1))}  # the last delivery comes twice and counts once
+        folded = fold.fold_state(rows.where(delivery))
+        folded.write.format(metric_table.FORMAT).options(**options, **repeated).mode("append").save()
+    return _read_table(spark, options)
+
+
+@registered
+def sink_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    options, folder, target = _table(spark), shared_dir(spark, "arrivals"), shared_dir(spark, "sink")
+    rows = _valid(spark, sf_dir).select("seq", "ts", *STATE_COLUMNS)
+    for delivery in (f"ts < {views.CUT}", f"ts >= {views.CUT}"):
+        rows.where(delivery).write.mode("append").parquet(folder)
+        stream = spark.readStream.schema(rows.schema).parquet(folder)
+        writer = stream.drop("ts").writeStream.format(metric_table.FORMAT).options(**options, stream="log")
+        writer.option("checkpointLocation", target).trigger(availableNow=True).start().awaitTermination()
+    return _read_table(spark, options)
+
+
 # --- snapshots
 
 
@@ -333,6 +395,13 @@ def snapshot_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     return snapshots.load_snapshot(spark, path).drop("pos")
 
 
+@registered
+def snapshot_array(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = shared_dir(spark, "array")
+    arrays.save_array(_state(spark, sf_dir), path)
+    return snapshots.load_snapshot(spark, path)
+
+
 @registered
 def restore_state(spark: SparkSession, sf_dir: str) -> DataFrame:
     snapshot = snapshots.load_snapshot(spark, _saved(spark, fold.fold_state(_new(spark, sf_dir))))
@@ -358,6 +427,12 @@ def report_cumulative(spark: SparkSession, sf_dir: str) -> DataFrame:
     return report.report_cumulative(rows, last_tick=last)
 
 
+@registered
+def report_range(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows, last = _ticked(spark, sf_dir)
+    return report.report_cumulative(rows, last_tick=last - 3, first_tick=last - 12)
+
+
 @registered
 def report_overcount(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows, last = _ticked(spark, sf_dir)
@@ -397,6 +472,28 @@ def stream_fold(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jobs.read_fold(spark, target).select(*STATE_COLUMNS)
 
 
+@registered
+def stream_fold_restored(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = _new(spark, sf_dir).select("seq", "ts", *STATE_COLUMNS)
+    (folder, files), target = _arrivals(rows, "arrivals"), shared_dir(spark, "fold")
+    stream = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", files).parquet(folder)
+    snapshot = _saved(spark, _base(spark, sf_dir))
+    jobs.run_fold(stream, target, state_partitions=spark.sparkContext.defaultParallelism, snapshot=snapshot).awaitTermination()
+    return jobs.read_fold(spark, target).select(*STATE_COLUMNS)
+
+
+@registered
+def stream_batch_atomic(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = _checked(spark, sf_dir).withColumn("n_items", F.count("*").over(Window.partitionBy("batch_id")))
+    rows = rows.select("batch_id", "n_items", "seq", *STATE_COLUMNS, "error")
+    folder, target = shared_dir(spark, "arrivals"), shared_dir(spark, "batches")
+    files = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    rows.repartition(files, "seq").write.parquet(folder)  # so that most batches are spread over files
+    stream = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", -(-files // 2)).parquet(folder)
+    jobs.run_whole_batches(stream, target, state_partitions=spark.sparkContext.defaultParallelism).awaitTermination()
+    return jobs.read_whole_batches(spark, target).select("batch_id", "seq", *STATE_COLUMNS)
+
+
 def _upserted(spark: SparkSession, rows: DataFrame, snapshot: str | None = None, decode=jobs.batch_documents) -> str:
     """Run the upsert stream over rows that arrive in two deliveries; the later one counts as newer."""
     folder, target = shared_dir(spark, "documents"), shared_dir(spark, "upsert")

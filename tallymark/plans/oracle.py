@@ -45,6 +45,12 @@ _WITH = {
     ),
     "checked": (f"SELECT *, {_PARSED}, {_TEXT_ERROR} AS error FROM raw", ("raw",)),
     "valid": ("SELECT * EXCLUDE (error) FROM checked WHERE error IS NULL", ("checked",)),
+    "identified": (
+        """SELECT *, substr(t, 1, 8) || '-' || substr(t, 9, 4) || '-7' || substr(h, 1, 3) || '-' ||
+            substr('89ab', CAST('0x' || substr(h, 4, 1) AS INTEGER) % 4 + 1, 1) || substr(h, 5, 3) || '-' || substr(h, 8, 12) AS id
+        FROM (SELECT *, md5(CAST(seq AS VARCHAR)) AS h, lpad(lower(hex(epoch_us(ts) // 1000)), 12, '0') AS t FROM valid)""",
+        ("valid",),
+    ),
     "state": (f"SELECT type, name, {_FOLD} FROM valid GROUP BY ALL", ("valid",)),
     "base": (f"SELECT type, name, {_FOLD} FROM valid WHERE ts < {_CUT} GROUP BY ALL", ("valid",)),
     "new": (f"SELECT type, name, {_FOLD} FROM valid WHERE ts >= {_CUT} GROUP BY ALL", ("valid",)),
@@ -80,6 +86,12 @@ _WITH = {
         FROM ticks t JOIN ticked u ON u.tick <= t.tick GROUP BY ALL""",
         ("ticks",),
     ),
+    "asked": (
+        """SELECT seq, CASE WHEN NOT broken THEN type END AS type, CASE WHEN NOT broken THEN name END AS name,
+            CASE WHEN broken THEN 'malformed_json' END AS request_error
+        FROM (SELECT *, seq % 59 = 11 OR seq % 71 = 6 OR seq % 73 = 8 AS broken FROM raw)""",
+        ("raw",),
+    ),
     "requests": (
         """SELECT DISTINCT type, name FROM raw WHERE name <> '' AND type <> 'histogram'
         UNION ALL SELECT 'gauge', 'Missing' UNION ALL SELECT 'hist', 'Any' UNION ALL SELECT 'gauge', ''""",
@@ -134,12 +146,7 @@ _SQL = {
         SELECT batch_id, NULL, NULL, NULL, NULL, NULL, 'malformed_json' FROM verdicts WHERE batch_id % 13 = 4""",
         ("verdicts",),
     ),
-    "lookup_strict_json": (
-        """SELECT seq, CASE WHEN NOT broken THEN type END AS type, CASE WHEN NOT broken THEN name END AS name,
-            CASE WHEN broken THEN 'malformed_json' END AS request_error
-        FROM (SELECT *, seq % 59 = 11 OR seq % 71 = 6 OR seq % 73 = 8 AS broken FROM raw)""",
-        ("raw",),
-    ),
+    "lookup_strict_json": ("SELECT * FROM asked", ("asked",)),
     "collect_unpivot": ("SELECT * FROM samples_long", ("samples_long",)),
     "collect_normalize": ("SELECT * FROM samples_finite", ("samples_finite",)),
     "collect_samples": (
@@ -213,18 +220,23 @@ _SQL = {
     ),
     "fold_state_wide": (f"SELECT type, name, {_FOLD} FROM wide GROUP BY type, name", ("wide",)),
     "fold_ids": ("SELECT type, name, 'id_' || min(seq) AS id FROM valid GROUP BY type, name", ("valid",)),
+    "fold_uuids": (
+        """SELECT type, name, CASE WHEN type = 'gauge' THEN arg_max(id, seq) ELSE arg_min(id, seq) END AS id
+        FROM identified GROUP BY type, name""",
+        ("identified",),
+    ),
     "latest_rows": (
         """SELECT seq, batch_id, name, type, raw_value, value, delta FROM valid
         QUALIFY row_number() OVER (PARTITION BY type, name ORDER BY seq DESC) = 1""",
         ("valid",),
     ),
-    "assign_ids": (
-        """SELECT seq, type, name, substr(t, 1, 8) || '-' || substr(t, 9, 4) || '-7' || substr(h, 1, 3) || '-' ||
-            substr('89ab', CAST('0x' || substr(h, 4, 1) AS INTEGER) % 4 + 1, 1) || substr(h, 5, 3) || '-' || substr(h, 8, 12) AS id
-        FROM (SELECT *, md5(CAST(seq AS VARCHAR)) AS h, lpad(lower(hex(epoch_us(ts) // 1000)), 12, '0') AS t FROM valid)""",
-        ("valid",),
-    ),
+    "assign_ids": ("SELECT seq, type, name, id FROM identified", ("identified",)),
     "state_upsert": (_UPSERTED.format(delta=_ADDED), ("base", "new")),
+    "state_upsert_ids": (
+        f"""SELECT type, name, arg_min(id, seq) AS id, coalesce(arg_max(value, seq) FILTER (WHERE ts >= {_CUT}), arg_max(value, seq)) AS value,
+            {_SUM} AS delta, min(ts) AS created_at, max(ts) AS updated_at FROM identified GROUP BY type, name""",
+        ("identified",),
+    ),
     "state_upsert_wide": (
         f"""SELECT type, name, coalesce(arg_max(value, seq) FILTER (WHERE ts >= {_WIDE_CUT}), arg_max(value, seq)) AS value,
             {_SUM} AS delta FROM wide GROUP BY type, name""",
@@ -255,6 +267,21 @@ _SQL = {
         ("answered",),
     ),
     "lookup_typed": (f"SELECT type, name, value, delta, error, {_STATUS} AS status FROM answered", ("answered",)),
+    "lookup_json": (
+        f"""SELECT seq, CASE WHEN error IS NULL THEN {_METRIC_JSON} END AS payload, error,
+            CASE error WHEN 'not_found' THEN 404 ELSE CASE WHEN error IS NULL THEN 200 ELSE 400 END END AS status
+        FROM (SELECT a.seq, a.type, a.name, s.value, s.delta, CASE WHEN request_error IS NOT NULL THEN request_error
+                WHEN a.type NOT IN ('gauge', 'counter') THEN 'unsupported_type' WHEN a.name = '' THEN 'name_empty'
+                WHEN s.name IS NULL THEN 'not_found' END AS error
+            FROM asked a LEFT JOIN state s ON a.type = s.type AND a.name = s.name)""",
+        ("asked", "state"),
+    ),
+    "sink_upsert": (_UPSERTED.format(delta=_ADDED), ("base", "new")),
+    "sink_stream": (_UPSERTED.format(delta=_ADDED), ("base", "new")),
+    "snapshot_array": (
+        "SELECT CAST(row_number() OVER (ORDER BY type, name) - 1 AS INTEGER) AS pos, name AS id, type, value, delta FROM state",
+        ("state",),
+    ),
     "snapshot_save": ("SELECT name AS id, type, value, delta FROM state", ("state",)),
     "snapshot_load": ("SELECT name AS id, type, value, delta FROM state", ("state",)),
     "restore_state": (_UPSERTED.format(delta="coalesce(n.delta, b.delta)"), ("base", "new")),
@@ -271,6 +298,10 @@ _SQL = {
         ("samples",),
     ),
     "report_cumulative": ("SELECT tick, type, name, value, delta FROM cumulative", ("cumulative",)),
+    "report_range": (
+        "SELECT tick, type, name, value, delta FROM cumulative WHERE tick BETWEEN (SELECT max(tick) FROM ticks) - 12 AND (SELECT max(tick) FROM ticks) - 3",
+        ("cumulative",),
+    ),
     "report_overcount": (
         "SELECT name, CAST(sum(delta) AS BIGINT) AS delta FROM cumulative WHERE type = 'counter' GROUP BY name",
         ("cumulative",),
@@ -286,6 +317,7 @@ _SQL = {
         ("valid",),
     ),
     "stream_fold": ("SELECT * FROM state", ("state",)),
+    "stream_fold_restored": (_UPSERTED.format(delta=_ADDED), ("base", "new")),
     "stream_upsert": (f"SELECT type, name, {_FOLD} FROM accepted GROUP BY type, name", ("accepted",)),
     "stream_snapshot": (
         f"SELECT name AS id, type, value, delta FROM (SELECT type, name, {_FOLD} FROM accepted GROUP BY type, name)",
@@ -294,6 +326,7 @@ _SQL = {
 }
 
 
+_SQL["stream_batch_atomic"] = _SQL["batch_atomic"]
 _SQL["stream_update_text"] = _SQL["stream_fold"]
 _SQL["stream_update_json"] = (
     f"SELECT type, name, {_FOLD} FROM ({_SQL['src_update_json'][0]}) WHERE error IS NULL GROUP BY type, name", ("raw",)

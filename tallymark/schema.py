@@ -24,6 +24,7 @@ TYPE_TOO_LONG = "type_too_long"
 MALFORMED_JSON = "malformed_json"
 NO_ROUTE = "no_route"
 NOT_FOUND = "not_found"
+NOT_FINITE = "not_finite"
 
 STATUS = {
     NAME_EMPTY: 404,

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
@@ -41,3 +41,12 @@ def shared_dir(spark: SparkSession, label: str) -> str:
         sc.setCheckpointDir(tempfile.mkdtemp(prefix="tallymark-"))
         base = sc.getCheckpointDir()
     return f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"
+
+
+def kept(df: DataFrame) -> DataFrame:
+    """``df`` computed once and kept in the shared checkpoint folder, so that a lost executor loses nothing.
+
+    Spark deletes it with the DataFrame where ``spark.cleaner.referenceTracking.cleanCheckpoints`` is set.
+    """
+    shared_dir(df.sparkSession, "kept")  # a local session without the setting gets a folder of its own
+    return df.checkpoint()

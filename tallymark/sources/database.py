@@ -67,7 +67,7 @@ def table_ddl(table: str = "metric") -> list[str]:
     key = f"name VARCHAR({S.MAX_NAME}) NOT NULL, type VARCHAR({S.MAX_TYPE}) NOT NULL"
     return [
         f"""CREATE TABLE IF NOT EXISTS {table} (id UUID PRIMARY KEY, {key}, {operands},
-        created_at TIMESTAMPTZ NOT NULL DEFAULT now(), updated_at TIMESTAMPTZ NOT NULL DEFAULT now(),
+        created_at TIMESTAMPTZ NOT NULL DEFAULT CURRENT_TIMESTAMP, updated_at TIMESTAMPTZ NOT NULL DEFAULT CURRENT_TIMESTAMP,
         UNIQUE (name, type), CHECK ((gauge_value IS NULL) = (type = 'counter') AND
         (counter_value IS NULL) = (type = 'gauge') AND type IN ('gauge', 'counter')))""",
         f"CREATE TABLE IF NOT EXISTS {table}_staged (epoch BIGINT, id UUID, {key}, {operands}, PRIMARY KEY (epoch, name, type))",

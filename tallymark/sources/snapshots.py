@@ -1,16 +1,19 @@
-"""Snapshots: versioned JSON-lines folders, and import of single JSON-array files."""
+"""Snapshots: versioned JSON-lines folders, and JSON arrays in one file or in parts."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallymark import schema as S
 from tallymark.functions import items as J
 from tallymark.operators.merge import to_snapshot
 from tallymark.operators.validate import check_snapshot, finite_values, require, snapshot_error
+from tallymark.sources.arrays import elements, pieces
 from tallymark.sources.files import Versions, file_system
 
+_ROWS = "pos int, id string, type string, value double, delta bigint"
+
 
 def _path(path: str) -> str:
     if not path.strip():
@@ -37,21 +40,32 @@ def save_snapshot(state: DataFrame, path: str) -> int:
 def load_snapshot(spark: SparkSession, path: str) -> DataFrame:
     """Rows ``(pos, id, type, value, delta)`` of a snapshot; fails on any invalid row.
 
-    ``path`` is a folder written by ``save_snapshot`` (its newest complete version is read) or one
-    JSON-array file. A missing path, an empty file and ``null`` give no rows. ``pos`` is the
-    position inside an array file, 0 in a folder, whose keys are unique.
+    ``path`` is a folder written by ``save_snapshot`` (its newest complete version is read), a folder
+    written by ``save_array``, or one JSON-array file; arrays are read by as many tasks as they have
+    splits. A missing path, an empty file and ``null`` give no rows. ``pos`` is the position inside an
+    array, 0 in a versioned folder, whose keys are unique.
     """
     fs, jpath = file_system(spark, _path(path))
     if not fs.exists(jpath):
-        return spark.createDataFrame([], "pos int, id string, type string, value double, delta bigint")
+        return spark.createDataFrame([], _ROWS)
     if fs.getFileStatus(jpath).isDirectory():
-        done = Versions(spark, path, S.SNAPSHOT, "json").complete()
-        files, whole = [f"{path.rstrip('/')}/version={v}" for v in done[-1:]], False
-    else:
-        files, whole = [path], True
-    if not files:
-        return spark.createDataFrame([], "pos int, id string, type string, value double, delta bigint")
-    return decode_snapshot(spark.read.text(files, wholetext=whole), whole)
+        if not fs.globStatus(spark._jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}/part-*")):
+            done = Versions(spark, path, S.SNAPSHOT, "json").complete()
+            files = [f"{path.rstrip('/')}/version={v}" for v in done[-1:]]
+            return decode_snapshot(spark.read.text(files), False) if files else spark.createDataFrame([], _ROWS)
+    return decode_array(spark, [path])
+
+
+def decode_array(spark: SparkSession, paths: list[str]) -> DataFrame:
+    """Snapshot rows of one JSON array, whose text lies in these files one after the other."""
+    texts = elements(pieces(spark, paths))
+    if texts is None:
+        return decode_snapshot(spark.createDataFrame([("]",)], "value string"), True)  # refused when it is read
+    text = F.col("text")
+    strict = F.coalesce(J.starts_with(text, "{") & ~J.has_unknown_field(text), F.lit(False))
+    items = F.coalesce(F.when(strict, J.decode_items(text)), _unreadable())
+    rows = texts.select("pos", F.explode(items).alias("item"))
+    return _gated(rows).select("pos", "item.id", "item.type", "item.value", "item.delta")
 
 
 def decode_snapshot(docs: DataFrame, whole: bool) -> DataFrame:
@@ -63,11 +77,15 @@ def decode_snapshot(docs: DataFrame, whole: bool) -> DataFrame:
     items = F.coalesce(F.when(strict, J.decode_items(text)), _unreadable())
     # The stand-in for an unreadable text keeps it apart from an empty array and fails the gate below.
     rows = present.select(F.posexplode_outer(items).alias("pos", "item"))
+    return _gated(rows, F.col("pos").isNotNull()).where("pos IS NOT NULL").select("pos", "item.id", "item.type", "item.value", "item.delta")
+
+
+def _gated(rows: DataFrame, judged: Column | None = None) -> DataFrame:
+    """``rows``, failing at the first item that is no snapshot row."""
     c = F.col
     error = snapshot_error(c("item.id"), c("item.type"), c("item.value"), c("item.delta"))
     error = F.when(c("item.type") == S.MALFORMED_JSON, F.lit(S.MALFORMED_JSON)).otherwise(error)
-    gated = require(rows, F.when(c("pos").isNotNull(), error), c("item.id"), "invalid snapshot row")
-    return gated.where("pos IS NOT NULL").select("pos", "item.id", "item.type", "item.value", "item.delta")
+    return require(rows, error if judged is None else F.when(judged, error), c("item.id"), "invalid snapshot row")
 
 
 def _unreadable():

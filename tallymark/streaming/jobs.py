@@ -11,10 +11,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from tallymark.operators.fold import fold_state, pack_order
+from tallymark import schema as S
+from tallymark.operators.fold import add_deltas, fold_state, pack_order
 from tallymark.operators.validate import check_text, valid
 from tallymark.sources.snapshots import load_snapshot, save_snapshot
 from tallymark.sources.updates import decode_batches, decode_updates
+from tallymark.streaming.batches import COLUMNS, whole_batches
 from tallymark.streaming.store import StateStore
 
 log = logging.getLogger(__name__)
@@ -41,16 +43,25 @@ def _trigger(interval: str | None) -> dict:
 
 
 def run_fold(
-    updates: DataFrame, target: str, interval: str | None = None, state_partitions: int | None = None, ts: str = "ts"
+    updates: DataFrame,
+    target: str,
+    interval: str | None = None,
+    state_partitions: int | None = None,
+    ts: str = "ts",
+    snapshot: str | None = None,
 ) -> StreamingQuery:
     """Fold a stream of valid updates into ever-growing state.
 
     The state lives in RocksDB, outside the JVM heap; each micro-batch stores the keys it changed
     below ``target``, where ``read_fold`` finds the whole. ``interval=None`` stops when the input
-    is used up. ``state_partitions`` is fixed at the first start of a target.
+    is used up. ``state_partitions`` is fixed at the first start of a target. With ``snapshot`` a new target
+    starts from that snapshot: it is kept below ``target`` as the base that ``read_fold`` adds the stream's totals to.
     """
     spark = updates.sparkSession
     store = _fold_store(spark, target)
+    base = _base_store(spark, target)
+    if snapshot and store.is_new() and base.is_new():
+        base.restore(load_snapshot(spark, snapshot), F.current_timestamp().cast("timestamp_ntz"))
     timed = updates.withColumn(ts, F.col(ts).cast("timestamp_ntz"))
     settings = {"spark.sql.streaming.stateStore.providerClass": ROCKSDB}
     if state_partitions:
@@ -70,9 +81,22 @@ def _fold_store(spark: SparkSession, target: str) -> StateStore:
     return StateStore(spark, f"{target.rstrip('/')}/state", add=False)
 
 
+def _base_store(spark: SparkSession, target: str) -> StateStore:
+    return StateStore(spark, f"{target.rstrip('/')}/base")
+
+
 def read_fold(spark: SparkSession, target: str) -> DataFrame:
-    """State a fold stream has written so far."""
-    return _fold_store(spark, target).read()
+    """State a fold stream has written so far, on top of the snapshot it started from."""
+    running, base = _fold_store(spark, target).read(), _base_store(spark, target)
+    if base.is_new():
+        return running
+    rows = base.read().withColumn("part", F.lit(0)).unionByName(running.withColumn("part", F.lit(1)))
+    return rows.groupBy(*S.KEY).agg(
+        F.max_by("value", "part").alias("value"),
+        add_deltas(F.col("delta"), "error").alias("delta"),
+        F.min("created_at").alias("created_at"),
+        F.max("updated_at").alias("updated_at"),
+    )
 
 
 def batch_documents(docs: DataFrame) -> DataFrame:
@@ -145,6 +169,33 @@ def _try_save(store: StateStore, snapshot: str) -> None:
         log.exception("snapshot save failed")
 
 
+def run_whole_batches(
+    checked: DataFrame, target: str, interval: str | None = None, state_partitions: int | None = None, timeout_ms: int | None = None
+) -> StreamingQuery:
+    """Write the rows of a stream of checked rows below ``target``/rows, all or none of each batch.
+
+    Batches may be spread over micro-batches; see ``whole_batches``. ``read_whole_batches`` reads what has been
+    released. ``state_partitions`` is fixed at the first start of a target.
+    """
+    settings = {"spark.sql.streaming.stateStore.providerClass": ROCKSDB}
+    if state_partitions:
+        settings["spark.sql.shuffle.partitions"] = str(state_partitions)
+    base = target.rstrip("/")
+    writer = (
+        whole_batches(checked, timeout_ms=timeout_ms)
+        .writeStream.format("parquet")
+        .option("path", f"{base}/rows")
+        .option("checkpointLocation", f"{base}/checkpoint")
+        .trigger(**_trigger(interval))
+    )
+    with _settings(checked.sparkSession, settings):
+        return writer.start()
+
+
+def read_whole_batches(spark: SparkSession, target: str) -> DataFrame:
+    return spark.read.schema(COLUMNS).parquet(f"{target.rstrip('/')}/rows")
+
+
 def open_store(spark: SparkSession, target: str, **options) -> StateStore:
     return StateStore(spark, f"{target.rstrip('/')}/state", **options)
 
