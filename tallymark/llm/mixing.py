@@ -1,11 +1,11 @@
 """Mixing sources to target weights: blocks of fixed length, drawn per output shard, joined by index.
 
-The words of a source, in stored order, are cut into blocks. An output shard holds a fixed number of slots; how many
-of them each source gets is a multinomial draw, conditioned on the whole mix meeting the targets: a tree over the
-shards splits the totals in two, again and again, with hypergeometric draws. A shard finds its counts and the number
-of slots before it by walking down that tree, so shards are made independently of each other. Slot j of a source is
-mapped to a block by a pseudorandom permutation of the source's indices, a fresh one each time all have been used.
-Slots and blocks meet in a join by (source, index).
+The words of a source, in the order of its documents' ids and text hashes, are cut into blocks. An output shard holds a
+fixed number of slots; how many of them each source gets is a multinomial draw, conditioned on the whole mix meeting the
+targets. It is drawn as from an urn that holds a ball for every slot of every source: a pseudorandom permutation says
+which ball each slot of the mix takes, so a shard draws its own counts, of any size of mix, without knowing the others.
+Ball j of a source is mapped to a block by a pseudorandom permutation of the source's indices, a fresh one each time
+all have been used. Slots and blocks meet in a join by (source, index).
 """
 
 from __future__ import annotations
@@ -23,8 +23,6 @@ from pyspark.sql import functions as F
 from tallymark.llm.common import Lists, add_columns, flat_map, written
 from tallymark.llm.streams import Marks, placed
 
-#: From this total on, the draws' relative spread is below the rounding of weights, and shares are used instead.
-LARGE = 10**9
 ROUNDS = 4
 WORD = re.compile(rb"[^\x20\x09-\x0D]+")
 
@@ -86,17 +84,6 @@ def _mix(x: np.ndarray, key: int) -> np.ndarray:
     return z ^ z >> np.uint64(31)
 
 
-def split(counts: np.ndarray, take: int, rng: np.random.Generator) -> np.ndarray:
-    """How many of each source are among ``take`` slots drawn from ``counts`` without order."""
-    total = int(counts.sum())
-    if total < LARGE:
-        return rng.multivariate_hypergeometric(counts, take, method="marginals")
-    made = np.array([int(c) * take // total for c in counts], np.int64)
-    rest = take - int(made.sum())
-    made[np.argsort(-(counts - made), kind="stable")[:rest]] += 1
-    return made
-
-
 @dataclass(frozen=True)
 class Plan:
     """Slots of each source in the whole mix, its blocks, slots a shard, and the seed."""
@@ -114,64 +101,70 @@ class Plan:
     def shards(self) -> int:
         return -(-self.total // self.shard)
 
-    def counts(self, shard: int) -> tuple[np.ndarray, np.ndarray]:
-        """Slots of each source before a shard, and in it."""
-        low, high = 0, self.shards
-        before, inside = np.zeros(len(self.slots), np.int64), np.array(self.slots, np.int64)
-        while high - low > 1:
-            middle = (low + high) // 2
-            rng = np.random.default_rng([self.seed, low, high])
-            left = split(inside, (middle - low) * self.shard, rng)
-            if shard < middle:
-                high, inside = middle, left
-            else:
-                low, before, inside = middle, before + left, inside - left
-        return before, inside
+    def taken(self, shard: int) -> tuple[np.ndarray, np.ndarray]:
+        """Source of each slot of a shard, and which of its source's slots it is."""
+        low, high = shard * self.shard, min((shard + 1) * self.shard, self.total)
+        ball = permuted(np.arange(low, high, dtype=np.int64), self.total, self.seed)
+        ends = np.cumsum(np.array(self.slots, np.int64))
+        source = np.searchsorted(ends, ball, side="right")
+        return source, ball - (ends[source] - np.array(self.slots, np.int64)[source])
 
     def draw(self, shard: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Source, block and turn (how often all its source's blocks have been used) of each slot of a shard."""
-        before, inside = self.counts(shard)
-        source = np.repeat(np.arange(len(inside)), inside)
-        block, turn = np.zeros(len(source), np.int64), np.zeros(len(source), np.int64)
-        at = 0
-        for s, (b, n) in enumerate(zip(before.tolist(), inside.tolist(), strict=True)):
-            j = np.arange(b, b + n, dtype=np.int64)
-            turns = j // max(1, self.blocks[s])
-            for t in np.unique(turns).tolist():
-                mine = np.flatnonzero(turns == t)
-                key = (self.seed * 1_000_003 + s) * 1_000_003 + t
-                block[at + mine] = permuted(j[mine] - t * self.blocks[s], self.blocks[s], key)
-            turn[at : at + n] = turns
-            at += n
-        shuffled = np.random.default_rng([self.seed, shard, 1 << 32]).permutation(len(source))
-        return source[shuffled], block[shuffled], turn[shuffled]
+        source, j = self.taken(shard)
+        size = np.array(self.blocks, np.int64)[source]
+        turn, block = j // size, np.zeros(len(j), np.int64)
+        for s, t in np.unique(np.stack([source, turn]), axis=1).T.tolist():
+            mine = np.flatnonzero((source == s) & (turn == t))
+            key = (self.seed * 1_000_003 + s) * 1_000_003 + t + 1
+            block[mine] = permuted(j[mine] - t * self.blocks[s], self.blocks[s], key)
+        return source, block, turn
 
 
 # --- the operator
 
 
+#: Columns of a mix that carried ones may be named like; those come along as ``<name>_carried``.
+RESERVED = frozenset(
+    "doc_id source body part row size start base place source_index source_size target blocks shard slot block turn from_word words order1 order2 order3".split()
+)
+
+
+def carried_as(name: str) -> str:
+    return f"{name}_carried" if name in RESERVED else name
+
+
 def sized(documents: DataFrame, id_col: str, text: str, source: str, carry: tuple[str, ...]) -> DataFrame:
-    """doc_id, source, body if carried, part, row (in it), size in words, start in its source and partition."""
+    """doc_id, source, body if carried, part, row (in it), size in words, start in its source and partition.
+
+    Rows are sorted by source, id and a hash of the text over all partitions, so their places do not depend on how the
+    files were read; rows that agree in all three are equal. A last number that only spreads them over partitions.
+    """
     named = {"doc_id": F.col(f"`{id_col}`").cast("long"), "source": F.col(f"`{source}`").cast("string"), "body": F.col(f"`{text}`")}
-    named |= {c: F.col(f"`{c}`") for c in carry if c not in (id_col, text, source)}
+    named |= {carried_as(c): F.col(f"`{c}`") for c in carry if c not in (id_col, text, source)}
+    named |= {"order1": F.xxhash64(F.col(f"`{text}`")), "order2": F.xxhash64(F.lit(1), F.col(f"`{text}`"))}
     body = documents.select(*[v.alias(k) for k, v in named.items()])
 
+    def count(cols: Lists) -> Lists:
+        return {"size": [len((x or b"").split()) for x in cols["body"]]}
+
+    counted = add_columns(body, ["body"], count, "size long", () if carry else ("body",))
+    keys = ("source", "doc_id", "order1", "order2", "order3")
+    ranged = counted.withColumn("order3", F.monotonically_increasing_id()).repartitionByRange(*keys).sortWithinPartitions(*keys)
+
     def begin() -> Callable[[Lists], Lists]:
         marks, rows = Marks(), itertools.count()
 
         def add(cols: Lists) -> Lists:
-            sizes = [len((x or b"").split()) for x in cols["body"]]
             return {
-                "part": [marks.part] * len(sizes),
-                "row": [next(rows) for _ in sizes],
-                "size": sizes,
-                "start": [marks.start(s, n) for s, n in zip(cols["source"], sizes, strict=True)],
+                "part": [marks.part] * len(cols["size"]),
+                "row": [next(rows) for _ in cols["size"]],
+                "start": [marks.start(s, n) for s, n in zip(cols["source"], cols["size"], strict=True)],
             }
 
         return add
 
-    drop = () if carry else ("body",)
-    return add_columns(body, ["source", "body"], begin, "part int, row long, size long, start long", drop, per_task=True)
+    return add_columns(ranged, ["source", "size"], begin, "part int, row long, start long", ("order1", "order2", "order3"), per_task=True)
 
 
 @dataclass(frozen=True)
@@ -212,12 +205,12 @@ def mix(
     ``weights`` gives a weight for each source of an ordered list (see ``order``). Targets stop at ``most`` times the
     source's size. A block of a source is used at most ``most`` times, rounded up; with a whole number no document is
     taken more often than that. The last block of a source may be short, so a source's words are within about one
-    block of its target. The same rows, stored in the same files, give the same mix.
+    block of its target. The same rows give the same mix, however they are stored and read.
 
-    The sources are the mix's configuration: the driver holds a row for each, and each shard's draw a number. A null
+    The sources are the mix's configuration: the driver holds a row for each, and each shard's draw two numbers. A null
     source is a source, a null text has no words, a source without words has a target of zero, repeated rows count
     each, and an empty table gives an empty mix. Only the named columns are read. To get the mix as text, ``carry`` the
-    text column, and others that shall come along.
+    text column, and others that shall come along; one named like a column of the mix comes as ``<name>_carried``.
     """
     spark = documents.sparkSession
     stored = written(sized(documents, id_col, text, source, carry), "sizes")

@@ -10,6 +10,7 @@ import numpy as np
 import public_tokenizers
 import pytest
 import xxhash
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from tallymark.llm import chat, fingerprints, graph, mixing, packing, simhash, tokens, urls
@@ -281,6 +282,18 @@ def test_sketches_recover_what_differs(spark):
         assert (len(r["d"]["left"]), len(r["d"]["right"])) == (r["l"], r["r"])
 
 
+def test_keep_one_leaves_clashing_columns_alone(documents):
+    odd = documents.withColumns({c: F.lit(c) for c in ("__id", "__key", "row", "fp", "root")})
+    kept = simhash.keep_one(odd)
+    assert kept.columns == odd.columns and {(r["__id"], r["__key"], r["row"]) for r in kept.collect()} == {("__id", "__key", "row")}
+    assert kept.count() == simhash.keep_one(documents).count()
+
+
+def test_near_duplicates_need_no_cross_join(documents):
+    plan = simhash.near_duplicates(documents)._jdf.queryExecution().executedPlan().toString()
+    assert "CartesianProduct" not in plan and "BroadcastNestedLoop" not in plan
+
+
 # --- mixing
 
 
@@ -304,9 +317,9 @@ def test_permutations_are_permutations():
 
 def test_shards_draw_the_totals_and_every_block_evenly():
     plan = mixing.Plan((700, 0, 95, 3), (300, 0, 95, 1), 64, 11)
-    counts = [plan.counts(i) for i in range(plan.shards)]
-    assert sum(c[1] for c in counts).tolist() == [700, 0, 95, 3]
-    assert all((a[0] + a[1] == b[0]).all() for a, b in zip(counts, counts[1:]))
+    counts = [np.bincount(plan.taken(i)[0], minlength=4) for i in range(plan.shards)]
+    assert sum(counts).tolist() == [700, 0, 95, 3] and len({tuple(c) for c in counts}) > 3
+    assert sorted(j for i in range(plan.shards) for s, j in zip(*plan.taken(i)) if s == 2) == list(range(95))
     uses = Counter()
     for i in range(plan.shards):
         source, block, turn = plan.draw(i)
@@ -334,6 +347,55 @@ def test_mix_meets_targets_and_reruns_agree(documents, rows, empty):
     assert mixing.taken(mixing.mix(empty, mixing.cycle())).count() == 0
 
 
+def test_very_large_mixes_are_drawn_like_small_ones():
+    """The counts of shards spread as an urn's do: the mean is the share, the variance that of the hypergeometric."""
+    for scale in (1, 10**9):
+        plan = mixing.Plan((60_000 * scale, 30_000 * scale, 10_000 * scale), (20_000 * scale, 30_000 * scale, 10_000 * scale), 1000, 5)
+        some = range(0, plan.shards, plan.shards // 90)
+        counts = np.array([np.bincount(plan.taken(i)[0], minlength=3) for i in some])
+        for mean, spread, share in zip(counts.mean(axis=0), counts.std(axis=0), (0.6, 0.3, 0.1)):
+            sigma = (1000 * share * (1 - share)) ** 0.5
+            assert abs(mean - 1000 * share) < 5 * sigma / 90**0.5 and 0.7 * sigma < spread < 1.35 * sigma
+        source, block, turn = plan.draw(7)
+        assert (block < np.array(plan.blocks)[source]).all() and set(turn[source == 0].tolist()) <= {0, 1, 2}
+
+
+def test_the_mix_does_not_depend_on_files_and_splits(spark, documents, tmp_path):
+    many = documents.union(documents.withColumns({"doc_id": F.col("doc_id") + 100, "text": F.concat("text", F.lit(" more words"))})).select("doc_id", "text", "source")
+    found = set()
+    for files, split, shuffles in ((1, "128m", "4"), (3, "4k", "7"), (7, "1k", "2")):
+        path = str(tmp_path / f"{files}")
+        many.orderBy(F.rand(files)).repartition(files).write.parquet(path)
+        before = {k: spark.conf.get(k) for k in ("spark.sql.files.maxPartitionBytes", "spark.sql.shuffle.partitions")}
+        spark.conf.set("spark.sql.files.maxPartitionBytes", split)
+        spark.conf.set("spark.sql.shuffle.partitions", shuffles)
+        try:
+            drawn = mixing.mix(spark.read.parquet(path), mixing.cycle(), block=4, carry=("text",))
+            got = sorted(map(tuple, mixing.taken(drawn).collect()), key=str)
+            words = Counter()
+            for r in mixing.mixed_text(drawn).collect():
+                words[r["doc_id"]] += r["words"]
+        finally:
+            for k, v in before.items():
+                spark.conf.set(k, v)
+        assert sum(words.values()) == sum(r[4] for r in got)  # the words of the slots are what taken() says
+        by = Counter()
+        for r in got:
+            by[r[0]] += r[4]
+        assert by == words or {k: v for k, v in by.items() if v} == dict(words)
+        found.add(str(got))
+    assert len(found) == 1
+
+
+def test_carried_columns_may_be_named_like_those_of_the_mix(documents):
+    odd = documents.withColumns({c: F.lit(f"own {c}") for c in ("turn", "slot", "shard", "size", "row", "part")})
+    drawn = mixing.mix(odd, mixing.cycle(), block=16, carry=("text", "lang", "turn", "slot", "shard", "size", "row", "part"))
+    got = mixing.mixed_text(drawn)
+    assert {"lang", "turn_carried", "size_carried", "part_carried", "turn", "slot", "shard"} <= set(got.columns)
+    assert {(r["turn_carried"], r["size_carried"], r["row_carried"]) for r in got.collect()} == {("own turn", "own size", "own row")}
+    assert mixing.taken(drawn).count() == documents.count()
+
+
 def test_mixed_text_is_cut_from_the_documents(documents, rows, empty):
     drawn = mixing.mix(documents, mixing.cycle(), block=16, carry=("text", "lang"))
     got = mixing.mixed_text(drawn).collect()
@@ -440,3 +502,11 @@ def test_captures_meet_the_entries_of_their_time(spark):
         assert urls.filter_urls(p, e, bucket).count() == len(pages)
     assert urls.filter_urls(p, e.limit(0), 7).where("blocked").count() == 0
     assert urls.filter_urls(p.limit(0), e, 7).count() == 0
+
+
+def test_url_captures_may_have_any_columns_and_old_entries_stay_few(spark):
+    captures = spark.createDataFrame([("http://a.com/x", 1_700_000_000, "own", 1)], "url string, at long, hit string, bucket int")
+    entries = spark.createDataFrame([("host", "a.com", 1, "add")], "kind string, pattern string, changed long, action string")
+    made = urls.filter_urls(captures, entries, bucket=3600)
+    got = made.collect()
+    assert [(r["hit"], r["bucket"], r["blocked"], r["since"]) for r in got] == [("own", 1, True, 1)]
