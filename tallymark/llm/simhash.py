@@ -16,7 +16,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallymark.llm.common import Lists, add_columns, cut, flat_map
+from tallymark.llm.common import Lists, add_columns, cut, flat_map, written
 from tallymark.llm.graph import components
 
 BITS = 64
@@ -171,9 +171,9 @@ def links(distinct: DataFrame, radius: int = 2, bucket: int = BUCKET) -> DataFra
 
 def _bucketed(rows: DataFrame, masks: list[int], radius: int) -> DataFrame:
     """Each row once for every finer mask of its own one; there are (radius + 1) to the power of the depth at most."""
-    finer = [(_signed(mask), _signed(part)) for mask in masks for part in _parts(mask, radius + 1)]
-    parts = rows.sparkSession.createDataFrame(finer, "mask long, part long")
-    split = rows.join(parts, "mask").select(F.col("part").alias("mask"), "fp")
+    array = lambda mask: F.array(*[F.lit(_signed(part)).cast("long") for part in _parts(mask, radius + 1)])
+    finer = F.create_map(*[c for mask in masks for c in (F.lit(_signed(mask)).cast("long"), array(mask))])
+    split = rows.select(F.explode(finer[F.col("mask")]).alias("mask"), "fp")
     return split.select("mask", F.col("fp").bitwiseAND(F.col("mask")).alias("key"), "fp")
 
 
@@ -202,6 +202,7 @@ def near_duplicates(
     named = distinct.join(groups, distinct.fp == groups.node, "left").select(
         "fp", F.coalesce("root", "fp").alias("root"), F.when(F.col("root").isNull(), F.col("first")).otherwise(F.col("component_id")).alias("component_id")
     )
+    named = written(named, "groups")  # both sides are then shuffled for the join alone, which Spark can split where a fingerprint is hot
     return prints.join(named, "fp").select(F.col("id").alias(id_col), "text_key", "fp", "root", "component_id")
 
 
@@ -211,6 +212,7 @@ def keep_one(documents: DataFrame, shingle: int = 3, radius: int = 2, id_col: st
     chosen = groups.groupBy("root").agg(F.min_by(F.struct(F.col(id_col).alias("id"), F.col("text_key").alias("key")), F.struct(F.col(id_col).isNull(), id_col, "text_key")).alias("one"))
     key = lambda i, k: [F.coalesce(i.cast("long"), F.lit(0)).alias("__id"), F.xxhash64(i.isNull(), k).alias("__key")]
     one = chosen.select(*key(F.col("one.id"), F.col("one.key")))
-    keyed = documents.select("*", *key(F.col(f"`{id_col}`"), F.xxhash64(F.col(f"`{text}`"))))
+    row = F.struct(*[F.col(f"`{c}`") for c in documents.columns]).alias("row")
+    keyed = documents.select(row, *key(F.col(f"`{id_col}`"), F.xxhash64(F.col(f"`{text}`"))))
     kept = keyed.join(one, ["__id", "__key"])  # plain keys, so that repeated rows are dropped where the join leaves them
-    return kept.dropDuplicates(["__id", "__key"]).select(*[F.col(f"`{c}`") for c in documents.columns])
+    return kept.dropDuplicates(["__id", "__key"]).select("row.*")
