@@ -58,17 +58,19 @@ def filter_urls(captures: DataFrame, entries: DataFrame, bucket: int, url: str =
     rows = captures.drop("blocked", "kind", "pattern", "since")
     asked = rows.select(F.col(f"`{url}`").alias("__url"), F.col(f"`{at}`").cast("long").alias("__at")).dropna().distinct()
     probes = asked.withColumn("key", F.explode(keys(F.col("__url")))).withColumn("bucket", F.expr(f"__at div {bucket}"))
-    horizon = captures.agg(F.max(F.col(f"`{at}`").cast("long"))).first()[0]
-    end = F.least(F.coalesce(F.col("until") - 1, F.lit(horizon or 0)), F.lit(horizon or 0))
-    spans = intervals(entries).withColumn("__end", end).where("since <= __end")
-    cut = spans.withColumn("bucket", F.explode(F.sequence(F.expr(f"since div {bucket}"), F.expr(f"__end div {bucket}"))))
+    fetched = F.col(f"`{at}`").cast("long")
+    earliest, latest = (F.lit(x or 0) for x in captures.agg(F.min(fetched), F.max(fetched)).first())
+    # only the time of the captures is cut at buckets, however long an entry was active before and after
+    begin, end = F.greatest("since", earliest), F.least(F.coalesce(F.col("until") - 1, latest), latest)
+    spans = intervals(entries).withColumns({"__begin": begin, "__end": end}).where("__begin <= __end")
+    cut = spans.withColumn("bucket", F.explode(F.sequence(F.expr(f"__begin div {bucket}"), F.expr(f"__end div {bucket}"))))
     same = (
         (probes["key.kind"] == cut["kind"]) & (probes["key.pattern"] == cut["pattern"]) & (probes["bucket"] == cut["bucket"])
         & (cut["since"] <= probes["__at"]) & (probes["__at"] <= cut["__end"])
     )
     rank = F.array_position(F.array(*map(F.lit, KINDS)), F.col("kind"))
-    hits = probes.join(cut, same).select("__url", "__at", F.struct(rank.alias("rank"), "pattern", "kind", "since").alias("hit"))
-    first = hits.groupBy("__url", "__at").agg(F.min("hit").alias("hit"))
+    hits = probes.join(cut, same).select("__url", "__at", F.struct(rank.alias("rank"), "pattern", "kind", "since").alias("__hit"))
+    first = hits.groupBy("__url", "__at").agg(F.min("__hit").alias("__hit"))
     joined = rows.join(first, (rows[url] == first["__url"]) & (rows[at].cast("long") == first["__at"]), "left")
-    made = [F.col("hit").isNotNull().alias("blocked"), *[F.col(f"hit.{c}").alias(c) for c in ("kind", "pattern", "since")]]
+    made = [F.col("__hit").isNotNull().alias("blocked"), *[F.col(f"__hit.{c}").alias(c) for c in ("kind", "pattern", "since")]]
     return joined.select(*[rows[c] for c in rows.columns], *made)
