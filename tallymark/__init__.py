@@ -3,7 +3,7 @@
 from tallymark.operators.fold import fold_counters, fold_gauges, fold_ids, fold_state, fold_uuids, latest_rows, pack_order
 from tallymark.operators.ids import assign_ids
 from tallymark.operators.merge import key_violations, merge_add, rename, replace, restore, to_snapshot, upsert
-from tallymark.operators.quality import quality_report
+from tallymark.operators.quality import StreamHealth, counted_report, observed, observed_report, quality_report
 from tallymark.operators.query import (
     list_counters,
     list_gauges,
@@ -48,5 +48,5 @@ from tallymark.sources.updates import (
     read_documents,
     updates_from_uris,
 )
-from tallymark.streaming.jobs import finish, open_store, read_fold, read_whole_batches, run_fold, run_upsert, run_whole_batches
+from tallymark.streaming.jobs import finish, open_store, read_fold, read_whole_batches, run_fold, run_saves, run_upsert, run_whole_batches
 from tallymark.streaming.store import StateStore

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tallymark import schema as S
@@ -147,13 +147,22 @@ def batch_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
     return validate.batch_profile(_checked(spark, sf_dir))
 
 
+def _rules() -> dict[str, Column]:
+    names = (S.NAME_EMPTY, S.UNSUPPORTED_TYPE, S.INVALID_VALUE, S.NAME_TOO_LONG, S.TYPE_TOO_LONG)
+    return {name: F.col("error") == name for name in names} | {"time_missing": F.col("ts").isNull()}
+
+
 @registered
 def quality_report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    error = F.col("error")
-    names = (S.NAME_EMPTY, S.UNSUPPORTED_TYPE, S.INVALID_VALUE, S.NAME_TOO_LONG, S.TYPE_TOO_LONG)
-    checks = {name: error == name for name in names} | {"time_missing": F.col("ts").isNull()}
+    return quality.quality_report(validate.check_text(views.updates_raw(spark, sf_dir), max_lengths=True), _rules())
+
+
+@registered
+def quality_observed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    seen = Observation("quality")
     rows = validate.check_text(views.updates_raw(spark, sf_dir), max_lengths=True)
-    return quality.quality_report(rows, checks)
+    quality.observed(rows, _rules(), seen).write.parquet(shared_dir(spark, "checked"))  # the rows' only pass
+    return quality.observed_report(spark, seen)
 
 
 @registered

@@ -326,6 +326,7 @@ _SQL = {
 }
 
 
+_SQL["quality_observed"] = _SQL["quality_report"]
 _SQL["stream_batch_atomic"] = _SQL["batch_atomic"]
 _SQL["stream_update_text"] = _SQL["stream_fold"]
 _SQL["stream_update_json"] = (

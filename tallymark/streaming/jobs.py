@@ -130,7 +130,8 @@ def run_upsert(
     ``batch_documents``, ``single_documents`` and ``text_updates`` are the decoders. A document is
     applied whole or not at all, and a replayed micro-batch changes nothing. With ``snapshot`` an
     empty store starts from that snapshot if ``restore`` is set; ``sync`` saves a new one after
-    every micro-batch, ``save_every`` once so many seconds have passed since the last. A failing
+    every micro-batch, ``save_every`` once so many seconds have passed since the last, ``run_saves`` also
+    while no data arrive. A failing
     save is logged and the stream goes on. ``rejects`` gets the refused rows of each micro-batch
     that has not been applied yet.
     """
@@ -162,11 +163,32 @@ def run_upsert(
     )
 
 
-def _try_save(store: StateStore, snapshot: str) -> None:
+def run_saves(spark: SparkSession, target: str, snapshot: str, every: str = STORE_INTERVAL) -> StreamingQuery:
+    """Save a snapshot of the store below ``target`` on every tick on which it has changed since the last save.
+
+    The ticks come from a stream of their own, so the last change is saved even if no further update ever arrives. A
+    failing save is logged and tried again on the next tick. Runs until it is stopped.
+    """
+    store, saved = open_store(spark, target), None
+
+    def save(_: DataFrame, tick: int) -> None:
+        nonlocal saved
+        applied = None if store.is_new() else store.applied()
+        if applied != saved and _try_save(store, snapshot):
+            saved = applied
+
+    ticks = spark.readStream.format("rate").option("rowsPerSecond", 1).load()
+    writer = ticks.writeStream.option("checkpointLocation", f"{target.rstrip('/')}/saves").foreachBatch(save)
+    return writer.trigger(processingTime=every).start()
+
+
+def _try_save(store: StateStore, snapshot: str) -> bool:
     try:
         save_snapshot(store.read(), snapshot)
     except Exception:
         log.exception("snapshot save failed")
+        return False
+    return True
 
 
 def run_whole_batches(

@@ -4,9 +4,11 @@ import json
 import math
 import random
 import sqlite3
+import time
 
 import pyarrow as pa
 import pytest
+from pyspark.sql import Observation
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
@@ -354,3 +356,55 @@ def test_a_fold_starts_from_a_snapshot(spark, tmp_path):
         tm.run_fold(stream, target, state_partitions=2, snapshot=saved).awaitTermination()
         assert plain(tm.read_fold(spark, target)) == plain(tm.fold_state(log))
         tm.save_snapshot(tm.fold_state(log), saved)
+
+
+def test_an_idle_stream_still_saves_its_last_change(spark, tmp_path):
+    target, saved = str(tmp_path / "out"), str(tmp_path / "saved")
+    store = tm.open_store(spark, target)
+    timed = lambda *rows: updates(spark, *rows).withColumn("ts", F.lit("2024-01-01").cast("timestamp_ntz"))
+    ticks = tm.run_saves(spark, target, saved, every="1 second")
+    try:
+        for epoch, want in ((0, 1), (1, 3)):
+            store.apply(timed(counter("c", epoch + 1)), epoch)
+            deadline = time.monotonic() + 90
+            while time.monotonic() < deadline and [r.delta for r in tm.load_snapshot(spark, saved).collect()] != [want]:
+                time.sleep(0.5)
+            assert [(r.id, r.delta) for r in tm.load_snapshot(spark, saved).collect()] == [("c", want)]
+        time.sleep(3)
+        assert len(list((tmp_path / "saved").glob("version=*"))) == 2  # nothing is saved without a change
+    finally:
+        ticks.stop()
+
+
+# --- status in the same pass
+
+
+def test_violations_are_counted_in_the_pass_that_reads_the_rows(spark, tmp_path):
+    rows = spark.createDataFrame([(1,), (2,), (None,), (-4,)], "v int")
+    rules = {"missing": F.col("v").isNull(), "negative": F.col("v") < 0, "large": F.col("v") > 9}
+    seen = Observation("health")
+    tm.observed(rows, rules, seen).write.parquet(str(tmp_path / "rows"))
+    assert sorted(map(tuple, tm.observed_report(spark, seen).collect())) == sorted(map(tuple, tm.quality_report(rows, rules).collect()))
+    none = Observation("none")
+    tm.observed(rows, {}, none).count()
+    assert [tuple(r) for r in tm.observed_report(spark, none).collect()] == [("overall", "ok", None)]
+
+
+def test_a_failing_check_shows_per_micro_batch(spark, tmp_path):
+    for values in ([1, 2], [3, -1, -2], [4]):
+        spark.createDataFrame([(v,) for v in values], "v int").coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+    failed = []
+    health = tm.StreamHealth("health", lambda batch, counts: failed.append((batch, counts["negative"])))
+    spark.streams.addListener(health)
+    try:
+        stream = spark.readStream.schema("v int").option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "in"))
+        writer = tm.observed(stream, {"negative": F.col("v") < 0}, "health").writeStream.format("noop")
+        writer.option("checkpointLocation", str(tmp_path / "check")).trigger(availableNow=True).start().awaitTermination()
+        deadline = time.monotonic() + 30
+        while time.monotonic() < deadline and len(health.batches) < 3:
+            time.sleep(0.2)
+    finally:
+        spark.streams.removeListener(health)
+    assert [(b, c["rows_seen"], c["negative"]) for b, c in health.batches] == [(0, 2, 0), (1, 3, 2), (2, 1, 0)] and failed == [(1, 2)]
+    report = {r["name"]: r.status for r in tm.counted_report(spark, health.batches[1][1]).collect()}
+    assert report == {"negative": "error", "overall": "unhealthy"}
