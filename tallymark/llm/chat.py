@@ -11,6 +11,7 @@ the state between each two, and every stretch is then repaired on its own.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 from functools import cached_property
@@ -40,6 +41,16 @@ class Rules:
     header: str = "<|{role}|>\n"
     footer: str = "<|end|>\n"
     joint: str = "\n"
+    mark: str = "<|"
+
+    def safe(self, body: str) -> str:
+        """A text in which no mark begins: one more backslash stands inside whatever looks like the start of one, so that
+        taking one away gives the text back."""
+        return re.sub(re.escape(self.mark[0]) + r"(\\*)" + re.escape(self.mark[1:]), lambda m: self.mark[0] + m[1] + "\\" + self.mark[1:], body)
+
+    def plain(self, body: str) -> str:
+        """The text that ``safe`` made safe."""
+        return re.sub(re.escape(self.mark[0]) + r"(\\*)\\" + re.escape(self.mark[1:]), lambda m: self.mark[0] + m[1] + self.mark[1:], body)
 
     def role(self, name: str | None) -> int:
         """State of a role; 0 if it is none of the known ones, so that it must be relabelled."""
@@ -151,7 +162,8 @@ def repair(
 
     A conversation's segments, one after the other, are its rendering: a segment closes the message before, writes the
     inserted empty ones, opens its own message unless it is merged, and after the last turn closes the conversation. The
-    costs of a conversation's turns add up to the least possible. Columns: the conversation, chunk, sub, row, turn, role,
+    costs of a conversation's turns add up to the least possible. Texts cannot forge a message: what looks like the start
+    of a mark in them is escaped (``Rules.safe``). Columns: the conversation, chunk, sub, row, turn, role,
     new_role, action (keep, merge, relabel, insert), cost, segment.
 
     Turns are ordered by number, equal ones by a hash of role and text, null ones last. A null or unknown role must be
@@ -190,12 +202,12 @@ def _repaired(group: Lists, rules: Rules, turn: str, role: str) -> Lists:
         own = 0 if r == after else rules.relabel
         if action == "merge":
             cost.append(own + rules.merge)
-            segments.append(rules.joint + (_text(body) or ""))
+            segments.append(rules.joint + rules.safe(_text(body) or ""))
             continue
         inserted = rules.between[before, after]
         cost.append(own + rules.insert * len(inserted))
         close = rules.footer if before else ""
-        segments.append(close + "".join(map(empty, inserted)) + rules.header.format(role=STATES[after]) + (_text(body) or ""))
+        segments.append(close + "".join(map(empty, inserted)) + rules.header.format(role=STATES[after]) + rules.safe(_text(body) or ""))
     if whole or group["ends"][0]:
         cost[-1] += rules.ending(state)
         after = () if state == END else (*rules.between[state, END], END)

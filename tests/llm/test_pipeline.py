@@ -70,6 +70,9 @@ CONTRACT = {
     "op8_url_filters": "page_id blocked kind pattern since",
     "op9_license_scans": "doc_id license coverage places",
     "op10_mixing": "doc_id size source_size target taken",
+    "op11_ranked_lexical_search": "item_id rank doc_id score",
+    "op12_conversation_prefix_trie": "conv_id depth parent_conv_id n_convs n_children n_leaves saved_tokens ends_sha256",
+    "op13_line_dedup": "doc_id n_lines n_dropped kept_sha256",
 }
 
 
