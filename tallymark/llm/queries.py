@@ -36,7 +36,8 @@ def oracle_sql() -> dict[str, str]:
 @registered
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return quality_rules.quality(documents).drop("text")
+    bands = quality_rules.fit(documents, table(spark, sf_dir, "labels"))
+    return quality_rules.quality(documents, bands).drop("text")
 
 
 @registered

@@ -7,7 +7,9 @@ import random
 import re
 from collections import Counter
 
+import numpy as np
 import pytest
+import zstandard
 from pyspark.sql import functions as F
 
 from tallymark.llm import licenses, quality, secrets, token_counts
@@ -61,6 +63,78 @@ def test_quality_of_nothing_and_clashing_names(spark, empty):
     assert row["kept"] is False and row["n_words"] == 2 and row["text"] == "a b"
 
 
+def brute_kept(text, bands):
+    """The verdict on a text, from its bytes alone."""
+    raw = (text or "").encode()
+    made = brute_counts(text)
+    if made[0] < 10 or made[4] * 5 > made[0]:
+        return False
+    if len(raw) < bands.shortest:
+        return True
+    ratio = lambda x: len(x) / len(zstandard.ZstdCompressor(level=bands.level, write_content_size=False).compress(x))
+
+    def at(nodes, column):
+        x = math.log2(len(raw))
+        for a, b in zip(nodes, nodes[1:]):
+            low, high = math.log2(a[0]), math.log2(b[0])
+            if low <= x <= high:
+                return a[column] + (b[column] - a[column]) * (x - low) / (high - low)
+        return nodes[0][column] if x < math.log2(nodes[0][0]) else nodes[-1][column]
+
+    shape = re.sub(rb"[A-Za-z\x80-\xff]", b"a", re.sub(rb"[0-9]", b"0", raw))
+    chunks = [ratio(raw[i : i + bands.chunk]) for i in range(0, len(raw), bands.chunk) if i + bands.chunk <= len(raw)]
+    bad = sum(x < bands.chunk_band[0] or x > bands.chunk_band[1] for x in chunks)
+    return at(bands.whole, 1) <= ratio(raw) <= at(bands.whole, 2) and ratio(shape) >= at(bands.shape, 1) and bad <= bands.chunk_share * len(chunks)
+
+
+SF = "/root/testdata/sf0.01"
+
+
+def test_verdicts_match_brute_force(spark, documents):
+    for docs, bands in ((documents, quality.Bands()), (spark.read.parquet(f"{SF}/documents.parquet"), None)):
+        bands = bands or quality.fit(docs, spark.read.parquet(f"{SF}/labels.parquet"))
+        for r in quality.quality(docs.select("doc_id", "text"), bands).collect():
+            assert r["kept"] == brute_kept(r["text"], bands), r
+
+
+def test_fitted_bands_decide_on_held_out_documents(spark):
+    docs, labels = (spark.read.parquet(f"/root/testdata/sf0.1/{t}.parquet") for t in ("documents", "labels"))
+    half = F.pmod(F.xxhash64("doc_id", F.lit(7)), F.lit(2))
+    bands = quality.fit(docs, labels.where(half == 0))
+    assert bands != quality.Bands() and bands == quality.fit(docs.repartition(5), labels.where(half == 0).repartition(3))
+    seen = quality.quality(docs.join(labels.where(half == 1), "doc_id"), bands).where("not base_failed")
+    kept = {r["quality"]: r["k"] for r in seen.groupBy("quality").agg(F.avg(F.col("kept").cast("int")).alias("k")).collect()}
+    assert kept[1] >= 0.99 and kept[0] <= 0.4
+
+
+def test_symbol_noise_is_rejected(spark):
+    rng = random.Random(3)
+    docs, labels = (spark.read.parquet(f"{SF}/{t}.parquet") for t in ("documents", "labels"))
+    noise = [(" ".join("".join(rng.choices("#*$%&|<>", k=rng.randrange(*w))) for _ in range(n)),) for n, w in ((300, (3, 7)), (300, (1, 9)), (2000, (1, 9)), (60, (2, 9)))]
+    df = spark.createDataFrame(noise, "text string")
+    for bands in (quality.Bands(), quality.fit(docs, labels)):
+        assert not any(r["kept"] or r["base_failed"] for r in quality.quality(df, bands).collect())
+
+
+def test_fit_without_labels_changes_nothing(spark, documents, empty):
+    labels = spark.createDataFrame([(None, 1), (1, None), (2, 0), (3, 1), (3, 0), (4, 1)], "doc_id long, quality int")
+    for docs, given in ((documents, labels), (empty, labels), (documents, labels.limit(0))):
+        assert quality.fit(docs, given) == quality.Bands()
+    odd = documents.withColumns({c: F.lit(1) for c in ("id", "body", "place", "size", "whole", "label")})
+    assert quality.fit(odd, labels.withColumn("id", F.lit("x"))) == quality.Bands()
+
+
+def test_curves_hold_their_values():
+    rng = np.random.default_rng(1)
+    sizes = np.exp2(rng.uniform(7, 15, 4000))
+    values = np.log2(sizes) / 8 + rng.normal(0, 0.05, 4000)
+    nodes = quality.curve(sizes, values, 0.002, 0.4)
+    inside = [quality.limit(nodes, 1, s) <= v <= quality.limit(nodes, 2, s) for s, v in zip(sizes, values)]
+    assert np.mean(inside) > 0.995 and quality.limit(nodes, 2, 2**13) < 2**0 * 13 / 8 + 0.4
+    same = quality.curve(np.full(300, 500.0), np.full(300, 1.5), 0.002, 0.4)
+    assert quality.limit(same, 1, 500) == quality.limit(same, 2, 500) == 1.5
+
+
 # --- secrets
 
 ASSIGN = re.compile(r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""")
