@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from tallymark.llm import mixing
 from tallymark.llm.common import table, written
 from tallymark.llm.packing import pack
-from tallymark.llm.quality import quality
+from tallymark.llm.quality import fit, quality
 from tallymark.llm.secrets import redact
 from tallymark.llm.simhash import keep_one
 
@@ -21,8 +21,12 @@ COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the quality rules keep."""
-    return quality(docs).where("kept").select(*COLUMNS)
+    """Documents that the quality rules keep, with bands around the labelled good ones.
+
+    A null or empty text is no document and goes; an empty table gives an empty one.
+    """
+    bands = fit(docs, table(spark, sf_dir, "labels"))
+    return quality(docs, bands).where("kept").select(*COLUMNS)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
