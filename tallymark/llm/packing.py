@@ -1,25 +1,26 @@
 """Mixture-controlled packing: deficit round-robin over queues of documents fills every sequence.
 
-Each source is a queue of tokens with a weight. Every window (one sequence) grants each queue its share of the window;
-what cannot be served in whole tokens is carried to the next window as a deficit, so that over time each queue gets
-its weight exactly. With whole-number weights the deficits return to zero after as many windows as the weights add up
-to, so the state of the round-robin before any window is known in closed form: a document finds its windows from its
-place in its queue alone. Every partition cuts its own documents, with the deficits carried across partitions, and
-nothing is shuffled but one row per partition and queue.
+Each source is a queue of tokens with a weight. Every round (one sequence, or several where a queue's share of one would
+be less than a token) grants each queue its share; what cannot be served in whole tokens is carried on as a deficit,
+to the next queue and to the next round, so that over time each queue gets its weight exactly. A queue that runs dry
+leaves its share to the others. Deficits carried this way have a closed form: with the queues in the order in which
+they end, what all queues before one have got in any number of rounds follows from the totals and weights alone. A
+document finds its sequences from its place in its queue, every partition cuts its own documents, with the deficits
+carried across partitions, and nothing is shuffled but one row per partition and source.
 """
 
 from __future__ import annotations
 
-from bisect import bisect_right
 from collections.abc import Iterator
-from dataclasses import dataclass
+from fractions import Fraction
+from itertools import accumulate
 
 import numpy as np
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallymark.llm.common import Lists, flat_map, written
-from tallymark.llm.streams import Marks, placed
+from tallymark.llm.streams import Marks
 from tallymark.llm.tokens import TextEncoder, WordEncoder, shared
 
 PIECES = (
@@ -30,128 +31,73 @@ PIECES = (
 # --- the round-robin
 
 
-def round_robin(weights: list[int], window: int) -> np.ndarray:
-    """Tokens that each queue has got after 0, 1, ..., sum(weights) windows (rows), by deficit round-robin.
-
-    Each window adds ``window * weight / sum`` to a queue's deficit and serves its whole part; the tokens that are
-    then left go one each to the largest rests. After the last row all deficits are zero again.
-    """
-    w, total = np.array(weights, np.int64), sum(weights)
-    served = np.zeros((total + 1, len(w)), np.int64)
-    deficit = np.zeros(len(w), np.int64)  # in units of 1 / total tokens
-    for k in range(total):
-        deficit += window * w
-        give = np.maximum(deficit, 0) // total
-        rest = window - int(give.sum())
-        order = np.argsort(-(deficit - give * total), kind="stable")
-        if rest > 0:
-            give[order[:rest]] += 1
-        for q in order[::-1] if rest < 0 else ():
-            back = min(int(give[q]), -rest)
-            give[q] -= back
-            rest += back
-            if rest == 0:
-                break
-        deficit -= give * total
-        served[k + 1] = served[k] + give
-    return served
-
-
-@dataclass(frozen=True)
-class Segment:
-    """Windows first .. first + count - 1, served by one round-robin; ``before``: tokens each queue has given before.
-
-    ``weights`` are those of the queues that still have tokens (zero for the others); a segment of one window may
-    name its tokens in ``once`` instead.
-    """
-
-    first: int
-    count: int
-    before: tuple[int, ...]
-    weights: tuple[int, ...]
-    once: tuple[int, ...] | None = None
+def spread(counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For 0, 1, ..., count - 1 of each entry: the entry's index, and the number."""
+    rows = np.repeat(np.arange(len(counts)), counts)
+    return rows, np.arange(len(rows)) - np.repeat(np.cumsum(counts) - counts, counts)
 
 
 class Schedule:
-    """The windows of all queues until every queue is empty."""
+    """The rounds of all queues until every queue is empty; four numbers a queue, whatever their number."""
 
     def __init__(self, totals: list[int], weights: list[int], window: int):
-        self.window, self.totals = window, list(totals)
-        self.tables: dict[tuple[int, ...], np.ndarray] = {}
-        self.columns: dict[tuple, tuple[np.ndarray, np.ndarray]] = {}
-        self.segments: list[Segment] = []
-        before, first = [0] * len(totals), 0
-        while any(b < t for b, t in zip(before, totals, strict=True)):
-            left = [t - b for b, t in zip(before, totals, strict=True)]
-            active = tuple(w if x else 0 for w, x in zip(weights, left, strict=True))
-            count = min(self._windows(active, q, x) for q, x in enumerate(left) if x)
-            once = None
-            if count == 0:  # a queue ends inside this window; the others fill it in proportion
-                once, count = self._last(active, left), 1
-            self.segments.append(Segment(first, count, tuple(before), active, once))
-            given = once or self._given(active, count)
-            before = [b + int(g) for b, g in zip(before, given, strict=True)]
-            first += count
-        self.windows = first
-        self.ends = [[*(s.before[q] for s in self.segments[1:]), t] for q, t in enumerate(totals)]
-
-    def _table(self, weights: tuple[int, ...]) -> np.ndarray:
-        if weights not in self.tables:
-            self.tables[weights] = round_robin(list(weights), self.window)
-        return self.tables[weights]
-
-    def _given(self, weights: tuple[int, ...], k: int) -> np.ndarray:
-        table, period = self._table(weights), sum(weights)
-        return k // period * table[-1] + table[k % period]
-
-    def _windows(self, weights: tuple[int, ...], queue: int, tokens: int) -> int:
-        """Windows that a queue with so many tokens can serve in full."""
-        table, period = self._table(weights)[:, queue], sum(weights)
-        turns, rest = divmod(tokens, int(table[-1]))
-        return turns * period + int(np.searchsorted(table[:period], rest, "right")) - 1
-
-    def _last(self, weights: tuple[int, ...], left: list[int]) -> tuple[int, ...]:
-        give, room = [0] * len(left), min(self.window, sum(left))
-        while room:
-            open_ = [q for q in range(len(left)) if give[q] < left[q]]
-            total = sum(weights[q] for q in open_)
-            share = {q: min(left[q] - give[q], room * weights[q] // total) for q in open_}
-            if not any(share.values()):
-                share = {q: 1 for q in sorted(open_, key=lambda q: -weights[q])[:room]}
-            for q, x in share.items():
-                give[q] += x
-            room = min(self.window, sum(left)) - sum(give)
-        return tuple(give)
-
-    def _column(self, segment: Segment, queue: int) -> tuple[np.ndarray, np.ndarray]:
-        """Tokens of a queue, and of all queues before it, after 0, 1, ... windows of a segment's round-robin."""
-        key = (segment.weights, segment.once, queue)
-        if key not in self.columns:
-            table = np.array([[0] * len(self.totals), segment.once]) if segment.once else self._table(segment.weights)
-            self.columns[key] = np.ascontiguousarray(table[:, queue]), table[:, :queue].sum(axis=1)
-        return self.columns[key]
-
-    def pieces(self, queue: int, start: int, length: int) -> tuple[list[int], list[int], list[int], list[int]]:
-        """Position in the queue, tokens, window and offset in it, for the pieces of the tokens from ``start`` on."""
-        ends, stop, found = self.ends[queue], start + length, []
-        for i in range(bisect_right(ends, start), len(self.segments)):
-            segment, (own, ahead) = self.segments[i], self._column(self.segments[i], queue)
-            before, period = segment.before[queue], len(own) - 1
-            low, high = max(start, before), min(stop, ends[i])
-            if low < high:
-                turns, rest = divmod(np.array([low, high - 1]) - before, own[-1])
-                first, last = turns * period + np.searchsorted(own[:period], rest, "right") - 1
-                k = np.arange(first, last + 2)
-                turns, rest = k // period, k % period
-                edges = before + turns * own[-1] + own[rest]
-                others = turns * ahead[-1] + ahead[rest]
-                at, upto = np.maximum(edges[:-1], low), np.minimum(edges[1:], high)
-                some = upto > at  # a small queue may have no token in a window
-                made = (at, upto - at, segment.first + k[:-1], np.diff(others) + at - edges[:-1])
-                found.append([x[some] for x in made])
-            if high == stop:
-                break
-        return tuple(x.tolist() for x in (np.concatenate(c) for c in zip(*found, strict=True)))
+        n, all_ = len(totals), sum(totals)
+        order = sorted(range(n), key=lambda q: (Fraction(totals[q], weights[q]), q))
+        t, w = [totals[q] for q in order], [weights[q] for q in order]
+        tokens, shares = [0, *accumulate(t)], [0, *accumulate(w)]
+        left = [shares[-1] - x for x in shares[:-1]] + [1]
+        #: Every queue's share of a round is a token at least, so what it has got never falls.
+        self.window, self.round = window, window * max(1, -(-shares[-1] // window))
+        kind = np.int64 if (all_ + self.round) * max(1, shares[-1]) < 1 << 62 else object
+        self.rank = np.argsort(np.array(order, np.int64), kind="stable")
+        self.tokens, self.shares, self.left = (np.array(x, kind) for x in (tokens, shares, left))
+        #: Tokens given when each queue ends, rounded down; and the time of its end in tokens a weight.
+        self.ends = np.array([tokens[i] + t[i] * left[i] // w[i] for i in range(n)], kind)
+        self.times = np.array([x / y for x, y in zip(t, w, strict=True)], float)
+
+    def ahead(self, q: np.ndarray, rounds: np.ndarray) -> np.ndarray:
+        """Tokens that all queues before the ``q``-th to end have got after so many rounds."""
+        given = rounds * self.round
+        ended = np.searchsorted(self.ends, given, "left")
+        before = self.tokens[ended]
+        some = before + (self.shares[q] - self.shares[ended]) * (given - before) // self.left[ended]
+        return np.where(q <= ended, self.tokens[q], some)
+
+    def given(self, q: np.ndarray, rounds: np.ndarray) -> np.ndarray:
+        return self.ahead(q + 1, rounds) - self.ahead(q, rounds)
+
+    def _round_of(self, q: np.ndarray, at: np.ndarray) -> np.ndarray:
+        """The round that serves the token ``at`` of a queue: near where an even flow would, then exactly."""
+        time = at / (self.shares[q + 1] - self.shares[q])
+        ended = np.minimum(np.searchsorted(self.times, time.astype(float)), len(self.times) - 1)
+        found = np.maximum(((self.tokens[ended] + time * self.left[ended]) // self.round).astype(np.int64) - 1, 0)
+        found = found.astype(self.tokens.dtype)
+        while (late := self.given(q, found) > at).any():
+            found = found - late
+        while (early := self.given(q, found + 1) <= at).any():
+            found = found + early
+        return found
+
+    def pieces(self, queues: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, ...]:
+        """row, position in the queue, tokens, window and offset in it, for the pieces of runs of tokens of queues.
+
+        Runs have at least one token; the pieces of a run follow each other in the order of their positions.
+        """
+        q, starts = self.rank[queues], starts.astype(self.tokens.dtype)
+        stops = starts + lengths
+        first = self._round_of(q, starts)
+        rows, k = spread((self._round_of(q, stops - 1) - first + 1).astype(np.int64))
+        q, k = q[rows], first[rows] + k
+        a, b, c, d = self.ahead(q, k), self.ahead(q, k + 1), self.ahead(q + 1, k), self.ahead(q + 1, k + 1)
+        low, high = np.maximum(c - a, starts[rows]), np.minimum(d - b, stops[rows])
+        place = k * self.round + (b - a) + (low - (c - a))  # among all tokens of all queues
+        windows = np.where(high > low, (place + high - low - 1) // self.window - place // self.window + 1, 0)
+        again, i = spread(windows.astype(np.int64))  # a round of several windows is cut where they end
+        rows, low, high, place = rows[again], low[again], high[again], place[again]
+        window = place // self.window + i
+        begin = np.maximum(window * self.window, place)
+        size = np.minimum((window + 1) * self.window, place + high - low) - begin
+        return rows, low + begin - place, size, window, begin - window * self.window
 
 
 # --- the operator
@@ -201,8 +147,8 @@ def pack(
 
     ``targets`` weighs the sources; None takes their shares of all tokens, so all run out together. Weights are
     rounded to ``resolution`` parts. A source of less than one part, or without a target, queues in one common queue
-    for the rest, so there are never more than ``resolution`` + 1 queues and what the driver holds is bounded. A queue
-    that runs dry leaves its share to the others.
+    for the rest, which takes partition by partition what they hold. The driver holds one row for each of the at most
+    ``resolution`` or ``len(targets)`` other queues.
 
     ``by_word`` is for tokenizers that split at white space and drop it. A null or empty text has the end token only,
     or no row if ``end_id`` is None; a null source is a source; repeated rows are packed each; an empty table gives an
@@ -225,46 +171,47 @@ def pack(
     totals = [x[1] for x in large] + ([rest] if rest else [])
     schedule = Schedule(totals, weights, length)
 
-    spark = documents.sparkSession
-    names = spark.createDataFrame([(x[0], i) for i, x in enumerate(large)], "__name string, queue int")
-    queued = stored.join(F.broadcast(names), stored["source"].eqNullSafe(names["__name"]), "left").drop("__name")
-    queued = queued.withColumn("queue", F.coalesce("queue", F.lit(len(large))))
-    # a queue of several sources strings them together within a partition in the order of their names
-    return _cut(placed_in_queues(queued, rest > 0, len(large)), schedule)
+    names = documents.sparkSession.createDataFrame([(x[0], i) for i, x in enumerate(large)], "__name string, queue int")
+    names = written(names, "queues")  # joined by its true size
+    queued = stored.join(names, stored["source"].eqNullSafe(names["__name"]), "left").drop("__name")
+    return _cut(placed_in_queues(queued.withColumn("queue", F.coalesce("queue", F.lit(len(large))))), schedule)
 
 
-def placed_in_queues(rows: DataFrame, common: bool, last: int) -> DataFrame:
-    """``rows`` with ``base``, the place in its queue of the start of their source's documents in their partition."""
-    one = placed(rows, "source", "n", "bases")
-    if not common:
-        return one
-    # the common queue: its sources follow each other, each whole
-    sums = rows.where(F.col("queue") == last).groupBy("source").agg(F.sum("n").alias("total"))
-    order = Window.orderBy(F.col("source").asc_nulls_last()).rowsBetween(Window.unboundedPreceding, -1)
-    firsts = written(sums.select(F.col("source").alias("__name"), F.coalesce(F.sum("total").over(order), F.lit(0)).alias("__first")), "firsts")
-    joined = one.join(firsts, one["source"].eqNullSafe(firsts["__name"]), "left")
-    return joined.withColumn("base", F.col("base") + F.coalesce("__first", F.lit(0))).drop("__name", "__first")
+def placed_in_queues(rows: DataFrame) -> DataFrame:
+    """``rows`` with ``base``, the place in its queue of the start of their source's documents in their partition.
+
+    A queue takes what each partition holds of it in turn, source by source. Sizes are summed per partition and source
+    first: one running sum sees a row per partition, the other the sources of one partition.
+    """
+    sums = rows.groupBy("part", "queue", "source").agg(F.sum("n").alias("n"))
+    parts = sums.groupBy(F.col("part").alias("__part"), F.col("queue").alias("__queue")).agg(F.sum("n").alias("n"))
+    upto = lambda w: F.coalesce(F.sum("n").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    parts = parts.select("__part", "__queue", upto(Window.partitionBy("__queue").orderBy("__part")).alias("__before"))
+    inside = sums.select("part", "queue", F.col("source").alias("__source"), upto(Window.partitionBy("part", "queue").orderBy(F.col("source").asc_nulls_last())).alias("__inside"))
+    bases = inside.join(parts, (F.col("part") == F.col("__part")) & (F.col("queue") == F.col("__queue")))
+    bases = written(bases.select("__part", "__source", (F.col("__before") + F.col("__inside")).alias("base")), "bases")
+    return rows.join(bases, (rows["part"] == bases["__part"]) & rows["source"].eqNullSafe(bases["__source"])).drop("__part", "__source")
 
 
 def _cut(rows: DataFrame, schedule: Schedule) -> DataFrame:
     def run(batches: Iterator[Lists]) -> Iterator[Lists]:
-        names = ("doc_id", "source", "start", "length", "doc_tokens", "sequence_id", "offset", "ids")
         for cols in batches:
-            out: Lists = {k: [] for k in names}
-            for doc, source, queue, place, n, width, ids in zip(*(cols[k] for k in ("doc_id", "source", "queue", "place", "n", "width", "ids")), strict=True):
-                wide = np.frombuffer(ids, f"<u{width}").astype("<u4").tobytes()
-                name = None if source is None else source.decode("utf-8", "replace")
-                at, size, window, offset = schedule.pieces(queue, place, n)
-                count = len(at)
-                out["doc_id"] += [doc] * count
-                out["source"] += [name] * count
-                out["start"] += [a - place for a in at]
-                out["length"] += size
-                out["doc_tokens"] += [n] * count
-                out["sequence_id"] += window
-                out["offset"] += offset
-                out["ids"] += [wide[4 * (a - place) : 4 * (a - place + x)] for a, x in zip(at, size, strict=True)]
-            yield out
+            place, n = (np.array(cols[k], np.int64) for k in ("place", "n"))
+            row, at, size, window, offset = schedule.pieces(np.array(cols["queue"], np.int64), place, n)
+            start = (at - place[row]).astype(np.int64)
+            wide = [np.frombuffer(x, f"<u{w}").astype("<u4").tobytes() for x, w in zip(cols["ids"], cols["width"], strict=True)]
+            names = [None if x is None else x.decode("utf-8", "replace") for x in cols["source"]]
+            row, size, low = row.tolist(), size.tolist(), start.tolist()
+            yield {
+                "doc_id": [cols["doc_id"][r] for r in row],
+                "source": [names[r] for r in row],
+                "start": low,
+                "length": size,
+                "doc_tokens": [cols["n"][r] for r in row],
+                "sequence_id": window.tolist(),
+                "offset": offset.tolist(),
+                "ids": [wide[r][4 * x : 4 * (x + k)] for r, x, k in zip(row, low, size, strict=True)],
+            }
 
     ready = rows.where("n > 0").select("doc_id", "source", "queue", (F.col("base") + F.col("start")).alias("place"), "n", "width", "ids")
     return flat_map(ready, run, PIECES)

@@ -2,9 +2,12 @@
 
 import hashlib
 import itertools
+import pickle
 import random
 import re
+import tracemalloc
 from collections import Counter, defaultdict
+from fractions import Fraction
 
 import numpy as np
 import public_tokenizers
@@ -86,46 +89,92 @@ def test_packing_of_nothing_and_without_end(empty, documents, rows):
     check_pieces(got, [(r[0], x) for r in rows if (x := ids_of(r[1]))], 128)
 
 
-def test_round_robin_gives_every_weight_exactly():
+def test_round_robin_gives_every_weight_within_a_token():
     rng = random.Random(2)
     for _ in range(60):
         weights = [rng.randrange(1, 40) for _ in range(rng.randrange(1, 12))]
-        window = rng.choice([1, 3, 64, 2048])
-        served = packing.round_robin(weights, window)
+        schedule = packing.Schedule([w * 10_000 for w in weights], weights, rng.choice([1, 3, 64, 2048]))
+        rounds = np.arange(sum(weights) * 10_000 // schedule.round)[:, None]
+        served = schedule.given(schedule.rank[None, :], rounds)
         steps = np.diff(served, axis=0)
-        assert (steps >= 0).all() and (steps.sum(axis=1) == window).all()
-        ideal = np.arange(len(served))[:, None] * window * np.array(weights) / sum(weights)
-        assert abs(served - ideal).max() <= len(weights)
-        assert (served[-1] == window * np.array(weights)).all()
+        assert (steps >= 0).all() and (steps.sum(axis=1) == schedule.round).all()
+        assert abs(served - rounds * schedule.round * np.array(weights) / sum(weights)).max() < 1
 
 
-def test_schedule_places_every_token_once():
+def brute_flow(totals, weights, upto):
+    """Tokens of each queue when ``upto`` are given, by an even flow until one queue after the other ends."""
+    given, left = [Fraction(0)] * len(totals), Fraction(upto)
+    while left and (open_ := [q for q, t in enumerate(totals) if given[q] < t]):
+        share = sum(weights[q] for q in open_)
+        step = min(left / share, *(Fraction(totals[q] - given[q]) / weights[q] for q in open_))
+        for q in open_:
+            given[q] += step * weights[q]
+        left -= step * share
+    return given
+
+
+@pytest.mark.parametrize("scale", [1, 10**15])
+def test_schedule_places_every_token_once(scale):
     rng = random.Random(5)
-    for _ in range(40):
+    for _ in range(25 if scale == 1 else 5):
         n = rng.randrange(1, 6)
         totals, weights = [rng.randrange(0, 400) for _ in range(n)], [rng.randrange(1, 20) for _ in range(n)]
-        schedule = packing.Schedule(totals, weights, rng.choice([4, 16, 50]))
-        cells = set()
+        schedule = packing.Schedule([t * scale for t in totals], [w * scale for w in weights], rng.choice([4, 16, 50]) * scale)
+        for k in range(-(-sum(totals) * scale // schedule.round) + 1):
+            flow = brute_flow(totals, weights, min(k * schedule.round // scale, sum(totals)))
+            for q, x in enumerate(flow):
+                assert abs(int(schedule.given(schedule.rank[[q]], np.array([k]).astype(schedule.tokens.dtype))[0]) - x * scale) < 1
+        runs = []
         for q, total in enumerate(totals):
             at = 0
             while at < total:
                 size = min(total - at, rng.randrange(1, 60))
-                place = at
-                for a, s, w, o in zip(*schedule.pieces(q, at, size)):
-                    assert a == place
-                    place += s
-                    cells |= {(w, o + k) for k in range(s)}
-                assert place == at + size
+                runs.append((q, at, size))
                 at += size
-        assert len(cells) == sum(totals)
-        assert cells == {divmod(i, schedule.window) for i in range(sum(totals))}
+        if not runs:
+            continue
+        cells, places = set(), [a for _, a, _ in runs]
+        queue, start, size = (np.array(x) for x in zip(*runs))
+        for r, a, s, w, o in zip(*schedule.pieces(queue, start * scale, size * scale)):
+            assert a == places[r] * scale if scale == 1 else a >= places[r] * scale
+            if scale == 1:
+                places[r] += s
+                cells |= {(w, o + k) for k in range(s)}
+            else:
+                cells.add((w, o, s))
+        if scale == 1:
+            assert places == [a + s for _, a, s in runs]
+            assert cells == {divmod(i, schedule.window) for i in range(sum(totals))}
+        else:
+            ends = {w * schedule.window + o + s for w, o, s in cells}
+            assert {w * schedule.window + o for w, o, _ in cells} == ends - {sum(totals) * scale} | {0}
 
 
 def test_windows_keep_target_proportions():
     schedule = packing.Schedule([30_000, 10_000, 1_000], [30, 10, 1], 41)
-    assert schedule.windows == 1000 and len(schedule.segments) == 1
-    got = schedule.pieces(0, 0, 30_000)
-    assert got[1] == [30] * 1000 and got[2] == list(range(1000)) and got[3] == [0] * 1000
+    row, at, size, window, offset = schedule.pieces(np.array([0]), np.array([0]), np.array([30_000]))
+    assert (size == 30).all() and window.tolist() == list(range(1000)) and (offset == 0).all() and not row.any()
+
+
+def test_thousands_of_equal_queues_stay_small():
+    rng = random.Random(4)
+    totals = [10**6 + rng.randrange(5000) for _ in range(5000)]
+    tracemalloc.start()
+    schedule = packing.Schedule(totals, [1] * 5000, 2048)
+    held, peak = tracemalloc.get_traced_memory()
+    tracemalloc.stop()
+    assert peak < 50e6 and len(pickle.dumps(schedule)) < 1e6
+    queues = np.array(rng.sample(range(5000), 20))
+    row, _, size, window, offset = schedule.pieces(queues, np.full(20, 990_000), np.full(20, 2000))
+    assert np.bincount(row, size).tolist() == [2000] * 20
+    assert len({*zip(window.tolist(), offset.tolist())}) == len(row)
+
+
+def test_many_small_sources_share_a_queue_in_stored_order(spark):
+    rows = [(i, "a b c d e f", f"s{i % 300}") for i in range(1200)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(4)
+    got = packing.pack(docs, TOKENIZER, 64, resolution=16).collect()
+    check_pieces(got, [(i, ids_of(t) + [1]) for i, t, _ in rows], 64)
 
 
 # --- near-duplicates
