@@ -1,8 +1,8 @@
 """Secret scans: fixed patterns, and strings near sensitive words that a primed compressor finds new.
 
-A candidate is measured by what it adds to the compressed size of the text around it. The compressor starts
-from a dictionary of common identifiers, so names, words and paths that the dictionary or the surroundings hold
-cost almost nothing, while key material costs close to its entropy.
+A candidate is measured by what it adds to the compressed size of the text around it. All is compressed as the parts of
+names, and the compressor starts from a dictionary of words and common identifiers, so names, words and paths that the
+dictionary or the surroundings hold cost few bytes a part, while key material costs a byte a character and more.
 """
 
 from __future__ import annotations
@@ -38,7 +38,7 @@ SENSITIVE = re.compile(
     r"|client[-_ ]?id|session[-_ ]?id",
     re.IGNORECASE | re.ASCII,
 )
-#: Names that occur in code everywhere; with them as history a compressor finds them free of charge.
+#: Names that occur in code everywhere; with them as history a compressor finds them cheaply.
 IDENTIFIERS = (
     "password passwd passphrase secret token api_key apikey access_key private_key public_key credential credentials "
     "authorization bearer signature client_id client_secret session session_id username user email account config "
@@ -48,20 +48,32 @@ IDENTIFIERS = (
     "application json text html utf-8 base64 encode decode encrypt decrypt hash sha256 md5 key keys data database table "
     "select insert update delete where from join order group limit true false null none undefined self this that "
     "the and for with from your you are not have will was can all one has been more when which their there would about "
-    "ABCDEFGHIJKLMNOPQRSTUVWXYZ abcdefghijklmnopqrstuvwxyz 0123456789 0123456789abcdef xxxxxxxxxxxxxxxxxxxxxxxx"
+    "abcdefghijklmnopqrstuvwxyz 0123456789 xxxxxxxxxxxxxxxxxxxxxxxx"
 )
 
 
-def known_names(vocabulary: str) -> str:
-    """The words of a tokenizer's vocabulary, frequent ones last, and ``IDENTIFIERS`` as parts of paths and names.
+PART = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])|[0-9]+")
+#: Dates, with or without separators, are ordinary whatever their digits.
+DATE = re.compile(r"(?<![0-9])(?:19|20)[0-9]{2}[-/._]?[01][0-9][-/._]?[0-3][0-9](?![0-9])")
+#: Information of one random character in bits: a digit, a letter of one case, a letter of either case.
+DIGIT_BITS, LETTER_BITS, CASED_BITS = 3.3, 4.7, 5.7
+
+
+def parts(text: str) -> str:
+    """The parts of words, names and paths in lower case, each behind a space, without dates.
 
-    Every candidate is measured, so long words must be as cheap as identifiers; key material stays new.
+    Parts end at changes of case, between letters and digits, and at every other character, so a known word is the same
+    string in a path, in a constant and in camel case. Key material falls into many short parts instead.
     """
+    return "".join(" " + p.lower() for p in PART.findall(DATE.sub(" ", text)))
+
+
+def known_names(vocabulary: str) -> str:
+    """The parts of a tokenizer's vocabulary from four letters on, frequent ones last, and of ``IDENTIFIERS``."""
     ranks = json.loads(Path(vocabulary).read_text())["model"]["vocab"]
     by_rank = sorted(ranks, key=lambda w: (-ranks[w], w))
     own = dict.fromkeys(w.removesuffix("</w>") for w in by_rank)
-    words = [f"{w.capitalize()} {w}" for w in own if len(w) >= 5 and w.isascii() and w.isalpha()]
-    return " ".join([*words, *(IDENTIFIERS.replace(" ", x) for x in "-./_"), IDENTIFIERS])
+    return parts(" ".join([*(w for w in own if len(w) >= 4 and w.isascii() and w.isalpha()), IDENTIFIERS]))
 
 
 DICTIONARY = known_names(public_tokenizers.path("word_bpe_49k.json"))
@@ -69,18 +81,22 @@ DICTIONARY = known_names(public_tokenizers.path("word_bpe_49k.json"))
 
 @dataclass(frozen=True)
 class Novelty:
-    """A candidate is reported if it adds at least ``least`` bytes and ``per_char`` bytes a character.
+    """A candidate is reported if it adds at least ``per_char`` bytes a character, and ``least`` bits altogether.
 
-    ``reach``: characters before or behind it in which a sensitive word must stand. ``around``: characters on each side that
-    count as its surroundings. ``dictionary``: more names that count as known.
+    A byte counts as many bits as a random character of the candidate's alphabet carries. ``reach``: characters before or
+    behind it in which a sensitive word must stand. ``around``: characters on each side that count as its surroundings.
+    ``stretch``: a longer candidate is measured in stretches of so many characters and is reported whole if one of them is
+    new, as random characters of a small alphabet become cheap behind many others.
+    ``dictionary``: names that count as known, as ``parts`` gives them.
     """
 
-    least: int = 10
-    per_char: float = 0.55
+    least: float = 45.0
+    per_char: float = 0.85
     reach: int = 64
     around: int = 256
+    stretch: int = 64
     dictionary: str = DICTIONARY
-    level: int = 3
+    level: int = 12
 
 
 class Meter:
@@ -90,13 +106,38 @@ class Meter:
         known = zstandard.ZstdCompressionDict(rules.dictionary.encode(), dict_type=zstandard.DICT_TYPE_RAWCONTENT)
         known.precompute_compress(level=rules.level)
         self.zstd = zstandard.ZstdCompressor(level=rules.level, dict_data=known, write_content_size=False)
+        self.rules = rules
 
     def size(self, text: str) -> int:
-        return len(self.zstd.compress(text.encode("utf-8", "replace")))
+        return len(self.zstd.compress(text.encode("ascii")))
 
     def marginal(self, before: str, candidate: str, after: str) -> int:
+        before, candidate, after = parts(before), parts(candidate), parts(after)
         return self.size(before + candidate + after) - self.size(before + after)
 
+    def is_new(self, text: str, start: int, end: int) -> bool:
+        """Whether a stretch of ``text[start:end]`` is incompressible beside what surrounds it."""
+        rules = self.rules
+        after = text[end : end + rules.around]
+        for at in range(start, end, rules.stretch):
+            stretch = text[at : min(at + rules.stretch, end)]
+            cost = self.marginal(text[max(0, at - rules.around) : at], stretch, after)
+            if cost >= rules.per_char * len(stretch) and information(stretch, cost) >= rules.least:
+                return True
+        return False
+
+
+def information(candidate: str, cost: int) -> float:
+    """Bits in ``cost`` bytes of an ASCII string: each stands for a letter or digit of it, of which there are no more.
+
+    Digits alone are numbers and carry none.
+    """
+    digits = sum(map(candidate.count, "0123456789"))
+    letters = sum(map(str.isalpha, candidate))
+    cased = candidate.lower() != candidate != candidate.upper()
+    bits = 0 if not letters else digits * DIGIT_BITS + letters * (CASED_BITS if cased else LETTER_BITS)
+    return bits * min(1.0, cost / max(1, digits + letters))
+
 
 def base_spans(text: str) -> list[tuple[int, int, int]]:
     """(start, kind, end) of the fixed patterns, in code points, by start and then in the order of ``KINDS``."""
@@ -143,10 +184,7 @@ def novel_spans(text: str, taken: Iterable[tuple[int, int, int]], rules: Novelty
             k += 1
         edges.append(last)
         for start, end in zip(edges[::2], edges[1::2], strict=True):
-            if start >= end:
-                continue
-            cost = meter.marginal(text[max(0, start - rules.around) : start], text[start:end], text[end : end + rules.around])
-            if cost >= rules.least and cost >= rules.per_char * (end - start):
+            if start < end and meter.is_new(text, start, end):
                 found.append((start, 3, end))
     return found
 
@@ -200,12 +238,12 @@ def redact(documents: DataFrame, rules: Novelty = Novelty(), text: str = "text",
             out = []
             for raw in cols[text]:
                 body = None if raw is None else raw.decode("utf-8", "replace")
-                parts, at = [], 0
+                kept, at = [], 0
                 for first, _, end in all_spans(body or "", rules, meter):
                     if first >= at:
-                        parts += [body[at:first], mark]
+                        kept += [body[at:first], mark]
                     at = max(at, end)
-                out.append("".join(parts) + body[at:] if parts else body)
+                out.append("".join(kept) + body[at:] if kept else body)
             return {text: out}
 
         return clean

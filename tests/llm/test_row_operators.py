@@ -2,9 +2,18 @@
 
 import base64
 import hashlib
+import http.client
+import logging.handlers
 import math
+import multiprocessing.pool
+import os
+import pathlib
 import random
 import re
+import string
+import unittest.mock
+import urllib.request
+import xml.dom.minidom
 from collections import Counter
 
 import numpy as np
@@ -189,6 +198,55 @@ def test_every_candidate_is_measured():
     assert novel("the signature of the representative and the characteristics of implementation") == []
 
 
+def harmless_strings():
+    """Names and module files of the Python library: identifiers, constants, dotted names and paths that nobody tuned."""
+    modules = [http.client, logging.handlers, multiprocessing.pool, os, string, unittest.mock, urllib.request, xml.dom.minidom]
+    names = [n for m in modules for n in dir(m)] + [f"{m.__name__}.{n}" for m in modules for n in dir(m)]
+    files = [str(p) for p in sorted(pathlib.Path(os.__file__).parent.glob("*/*.py")) if "site-packages" not in p.parts]
+    found = [m.group() for s in dict.fromkeys(names + files) for m in secrets.CANDIDATE.finditer(s)]
+    return random.Random(1).sample(found, 600)
+
+
+def secret_strings():
+    rng = random.Random(2)
+    draw = lambda alphabet, n: "".join(rng.choices(alphabet, k=n))
+    for n in range(120):
+        yield draw(string.ascii_letters + string.digits, 12 + n % 30)
+        yield draw(string.ascii_letters + string.digits + "+/", 16 + n)
+        yield draw(string.ascii_lowercase + string.digits, 16 + n % 24)
+        yield draw(string.ascii_uppercase + "234567", 16 + n % 24)
+        yield draw("0123456789ABCDEF", 32 + n)
+        yield "-".join(draw("0123456789abcdef", k) for k in (8, 4, 4, 4, 12))
+
+
+def test_novelty_separates_secrets_from_names_and_paths():
+    rules = secrets.Novelty()
+    meter = secrets.Meter(rules)
+
+    def reported(x):
+        text = f"The session token is explained in {x} and then the text goes on about it."
+        return bool(secrets.novel_spans(text, [], rules, meter))
+
+    harmless, secret = harmless_strings(), list(secret_strings())
+    assert sum(map(reported, harmless)) <= 0.05 * len(harmless)
+    assert sum(map(reported, secret)) >= 0.95 * len(secret)
+    for x in (
+        "/usr/local/share/doc/readme.txt", "www.wikipedia.org/wiki/Compression", "getUserAccountSettings", "spark.sql.shuffle.partitions",
+        "2024-03-01T12:30:45Z", "notwithstanding", "v1.24.3-beta.2", "com.example.service.UserAccountFactory", "build-20240301-release",
+    ):
+        assert not reported(x), x
+
+
+def test_long_candidates_are_measured_whole():
+    rng = random.Random(4)
+    for alphabet in (string.ascii_uppercase, string.ascii_letters + string.digits):
+        key = "".join(rng.choices(alphabet, k=5000))
+        assert novel(f"Authorization: Bearer {key}") == [key]
+    key = "".join(rng.choices(string.ascii_letters, k=40))
+    path = "/usr/local/share/documents/" * 40
+    assert novel(f"token {path}") == [] and novel(f"token {path}{key}") == [path + key]
+
+
 def test_parts_outside_base_spans_are_reported(spark):
     text = "Bearer v1.0123456789abcdef0123.QmFzZTY0U2lnbmF0dXJl end"
     assert novel(text) == [".QmFzZTY0U2lnbmF0dXJl"]
