@@ -17,7 +17,10 @@ from pyspark.sql import functions as F
 ROWS = 3
 #: Cells of the sketch that serves as fingerprint; it opens differences of about two thirds as many paragraphs.
 CELLS = 24
-#: Code points from which a paragraph is cut.
+#: A line also ends behind every word whose hash is divisible by this, and a long word behind every such character.
+EVERY_WORDS = 8
+EVERY_CHARS = 32
+#: Code points from which a word is long, and from which a paragraph without such a place is cut.
 WIDTH = 512
 #: Peeling ends after so many rounds; a sketch that is not open then counts as failed.
 ROUNDS = 12
@@ -36,14 +39,27 @@ def let(value: Column, use: Callable[[Column], Column]) -> Column:
 # --- digests and sketches
 
 
+def paragraphs(text: Column, width: int = WIDTH) -> Column:
+    """The paragraphs of a text: its lines, which also end where their content says so.
+
+    A line ends behind a word, with its white space, whose hash is divisible by ``EVERY_WORDS``, and inside words of more
+    than ``width`` code points behind a character whose hash is divisible by ``EVERY_CHARS``. An edit therefore changes
+    the paragraph in which it lies, not the ones behind. What is still longer is cut every ``width`` code points.
+    """
+    marked = lambda x, every: F.when(F.pmod(F.xxhash64(x), F.lit(every)) == 0, F.concat(x, F.lit("\n"))).otherwise(x)
+    chars = lambda w: F.array_join(F.transform(F.regexp_extract_all(w, F.lit(r"(?s)."), F.lit(0)), lambda c: marked(c, EVERY_CHARS)), "")
+    words = F.regexp_extract_all(text, F.lit(r"[^\x20\x09-\x0D]*[\x20\x09-\x0D]+|[^\x20\x09-\x0D]+"), F.lit(0))
+    cut = F.transform(words, lambda w: F.when(F.length(w) > width, chars(w)).otherwise(marked(w, EVERY_WORDS)))
+    return F.regexp_extract_all(F.array_join(cut, ""), F.lit(rf"[^\n]{{1,{width}}}"), F.lit(0))
+
+
 def digests(text: Column, width: int = WIDTH) -> Column:
-    """Distinct digests of a text's paragraphs: its lines, long ones cut every ``width`` code points.
+    """Distinct digests of a text's paragraphs.
 
     A digest is 48 bits of XXH64 and 16 check bits made from them, so that a cell can tell a digest from a mixture.
     An empty text has none.
     """
-    parts = F.regexp_extract_all(text, F.lit(rf"[^\n]{{1,{width}}}"), F.lit(0))
-    return F.array_distinct(F.transform(parts, lambda x: let(F.shiftrightunsigned(F.xxhash64(x), 16), _checked)))
+    return F.array_distinct(F.transform(paragraphs(text, width), lambda x: let(F.shiftrightunsigned(F.xxhash64(x), 16), _checked)))
 
 
 def _checked(high: Column) -> Column:

@@ -274,7 +274,11 @@ def test_components_of_random_graphs(spark):
 
 
 def paragraphs(text):
-    return set(re.findall(r"[^\n]{1,512}", text))
+    ends = lambda s, every: s + "\n" * (xxhash.xxh64_intdigest(s.encode(), 42) % every == 0)
+    words = re.findall(r"[^\x20\x09-\x0D]*[\x20\x09-\x0D]+|[^\x20\x09-\x0D]+", text)
+    assert "".join(words) == text
+    cut = [ends(w, 8) if len(w) <= 512 else "".join(ends(c, 32) for c in w) for w in words]
+    return set(re.findall(r"[^\n]{1,512}", "".join(cut)))
 
 
 def jaccard(a, b):
@@ -284,7 +288,8 @@ def jaccard(a, b):
 def test_fingerprints_match_brute_force(spark, empty):
     rng = random.Random(6)
     line = lambda: " ".join(rng.choices("abcdefgh", k=rng.randrange(1, 30)))
-    texts = ["", None, "x", "é\n\n\nü", "y" * 3000] + ["\n".join(line() for _ in range(rng.randrange(1, n))) for n in (3, 8, 30, 200, 700, 700)]
+    letters = "".join(chr(rng.randrange(0x4E00, 0x9000)) for _ in range(2000))
+    texts = ["", None, "x", "é\n\n\nü", "y" * 3000, letters, "a" + letters, "𝒳 " + letters[:300]] + ["\n".join(line() for _ in range(rng.randrange(1, n))) for n in (3, 8, 30, 200, 700, 700)]
     texts += [texts[-1], texts[-2]]
     docs = [(i * 10, t) for i, t in enumerate(texts)]
     got = {r["doc_id"]: r for r in fingerprints.fingerprints(spark.createDataFrame(docs, "doc_id long, text string")).collect()}
@@ -301,6 +306,21 @@ def test_fingerprints_match_brute_force(spark, empty):
     assert fingerprints.fingerprints(empty).count() == 0
 
 
+def test_paragraphs_follow_the_content(spark):
+    rng = random.Random(9)
+    words = ["".join(rng.choices("abcdefghijklmnop", k=rng.randrange(2, 9))) for _ in range(400)]
+    line = " ".join(rng.choices(words, k=700))
+    ideographs = "".join(chr(rng.randrange(0x4E00, 0x9000)) for _ in range(4000))
+    pairs = [(t, new) for t in (line, ideographs) for new in ("x" + t, t[:1500] + "x" + t[1500:], t[:1500] + t[1501:])]
+    df = spark.createDataFrame(pairs, "a string, b string")
+    keyed = df.select(fingerprints.digests(df["a"]).alias("a"), fingerprints.digests(df["b"]).alias("b"))
+    for r in keyed.select(fingerprints.likeness(keyed["a"], keyed["b"]).alias("l")).collect():
+        assert 0.9 < r["l"] < 1
+    half = [(2, line), (1, ideographs)]
+    for r in fingerprints.fingerprints(spark.createDataFrame(half, "doc_id long, text string")).collect():
+        assert r["near_edited"] > 0.25 and r["near_next"] == 0
+
+
 def test_fingerprints_of_ties_nulls_and_one_row(spark, documents, rows):
     assert fingerprints.fingerprints(documents).count() == len(rows)
     one = fingerprints.fingerprints(spark.createDataFrame([(None, "a\nb\nc")], "doc_id long, text string")).first()
