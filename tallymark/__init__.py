@@ -48,5 +48,5 @@ from tallymark.sources.updates import (
     read_documents,
     updates_from_uris,
 )
-from tallymark.streaming.jobs import finish, open_store, read_fold, read_whole_batches, run_fold, run_saves, run_upsert, run_whole_batches
+from tallymark.streaming.jobs import finish, open_store, read_fold, read_running, read_whole_batches, run_fold, run_saves, run_upsert, run_whole_batches
 from tallymark.streaming.store import StateStore

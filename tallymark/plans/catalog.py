@@ -481,6 +481,15 @@ def stream_fold(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jobs.read_fold(spark, target).select(*STATE_COLUMNS)
 
 
+@registered
+def stream_fold_state(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = _valid(spark, sf_dir).select("seq", "ts", *STATE_COLUMNS)
+    (folder, files), target = _arrivals(rows, "arrivals"), shared_dir(spark, "fold")
+    stream = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", files).parquet(folder)
+    jobs.run_fold(stream, target, state_partitions=spark.sparkContext.defaultParallelism, copy=False).awaitTermination()
+    return jobs.read_running(spark, target).select(*STATE_COLUMNS)
+
+
 @registered
 def stream_fold_restored(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = _new(spark, sf_dir).select("seq", "ts", *STATE_COLUMNS)

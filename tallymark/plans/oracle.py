@@ -317,6 +317,7 @@ _SQL = {
         ("valid",),
     ),
     "stream_fold": ("SELECT * FROM state", ("state",)),
+    "stream_fold_state": ("SELECT * FROM state", ("state",)),
     "stream_fold_restored": (_UPSERTED.format(delta=_ADDED), ("base", "new")),
     "stream_upsert": (f"SELECT type, name, {_FOLD} FROM accepted GROUP BY type, name", ("accepted",)),
     "stream_snapshot": (

@@ -14,6 +14,7 @@ from pyspark.sql.streaming import StreamingQuery
 from tallymark import schema as S
 from tallymark.operators.fold import add_deltas, fold_state, pack_order
 from tallymark.operators.validate import check_text, valid
+from tallymark.sources.files import file_system
 from tallymark.sources.snapshots import load_snapshot, save_snapshot
 from tallymark.sources.updates import decode_batches, decode_updates
 from tallymark.streaming.batches import COLUMNS, whole_batches
@@ -22,6 +23,13 @@ from tallymark.streaming.store import StateStore
 log = logging.getLogger(__name__)
 
 STORE_INTERVAL = "300 seconds"
+#: What the state of a fold stream holds of a key: the buffers of the fold's aggregates, told apart by their place only.
+#: The order may be of any type; the stream itself fails on lost orders and on overflow.
+FOLDED = (
+    ("lost", "bigint"), ("value", "double"), ("order", "string"), ("total", "bigint"), ("empty", "boolean"), ("deltas", "bigint"),
+    ("created_at", "timestamp_ntz"), ("updated_at", "timestamp_ntz"),
+)
+FOLDED_ORDER = 2
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
@@ -49,34 +57,41 @@ def run_fold(
     state_partitions: int | None = None,
     ts: str = "ts",
     snapshot: str | None = None,
+    copy: bool = True,
 ) -> StreamingQuery:
     """Fold a stream of valid updates into ever-growing state.
 
     The state lives in RocksDB, outside the JVM heap; each micro-batch stores the keys it changed
-    below ``target``, where ``read_fold`` finds the whole. ``interval=None`` stops when the input
+    below ``target``, where ``read_fold`` finds the whole. With ``copy=False`` nothing but the checkpoint is written, and
+    ``read_running`` reads the state from there. ``interval=None`` stops when the input
     is used up. ``state_partitions`` is fixed at the first start of a target. With ``snapshot`` a new target
     starts from that snapshot: it is kept below ``target`` as the base that ``read_fold`` adds the stream's totals to.
     """
     spark = updates.sparkSession
     store = _fold_store(spark, target)
     base = _base_store(spark, target)
-    if snapshot and store.is_new() and base.is_new():
+    if snapshot and store.is_new() and base.is_new() and not _has_committed(spark, target):
         base.restore(load_snapshot(spark, snapshot), F.current_timestamp().cast("timestamp_ntz"))
     timed = updates.withColumn(ts, F.col(ts).cast("timestamp_ntz"))
     settings = {"spark.sql.streaming.stateStore.providerClass": ROCKSDB}
     if state_partitions:
         settings["spark.sql.shuffle.partitions"] = str(state_partitions)
-    writer = (
-        fold_state(timed, ts=ts)
-        .writeStream.outputMode("update")
-        .option("checkpointLocation", f"{target.rstrip('/')}/checkpoint")
-        .trigger(**_trigger(interval))
-        .foreachBatch(lambda rows, epoch: store.put(rows, epoch))
-    )
+    writer = fold_state(timed, ts=ts).writeStream.outputMode("update").trigger(**_trigger(interval))
+    writer = writer.option("checkpointLocation", _checkpoint(target))
+    writer = writer.foreachBatch(lambda rows, epoch: store.put(rows, epoch)) if copy else writer.format("noop")
     with _settings(spark, settings):
         return writer.start()
 
 
+def _checkpoint(target: str) -> str:
+    return f"{target.rstrip('/')}/checkpoint"
+
+
+def _has_committed(spark: SparkSession, target: str) -> bool:
+    fs, commits = file_system(spark, f"{_checkpoint(target)}/commits/[0-9]*")
+    return bool(fs.globStatus(commits))
+
+
 def _fold_store(spark: SparkSession, target: str) -> StateStore:
     return StateStore(spark, f"{target.rstrip('/')}/state", add=False)
 
@@ -87,7 +102,27 @@ def _base_store(spark: SparkSession, target: str) -> StateStore:
 
 def read_fold(spark: SparkSession, target: str) -> DataFrame:
     """State a fold stream has written so far, on top of the snapshot it started from."""
-    running, base = _fold_store(spark, target).read(), _base_store(spark, target)
+    return _on_base(spark, target, _fold_store(spark, target).read())
+
+
+def read_running(spark: SparkSession, target: str, batch: int | None = None) -> DataFrame:
+    """State of a fold stream after its last micro-batch, or after ``batch``, on top of the snapshot it started from.
+
+    Read from the stream's own state, one task per state partition, also while the stream runs. How many earlier
+    micro-batches can be read is set by ``spark.sql.streaming.minBatchesToRetain`` when the stream is started.
+    """
+    reader = spark.read.format("statestore")
+    rows = (reader if batch is None else reader.option("batchId", batch)).load(_checkpoint(target))
+    held = [f.dataType.simpleString() for f in rows.schema["value"].dataType.fields]
+    if [t for i, t in enumerate(held) if i != FOLDED_ORDER] != [t for i, (_, t) in enumerate(FOLDED) if i != FOLDED_ORDER]:
+        raise RuntimeError(f"state of another layout: {held}")
+    named = rows.select("key.*", F.col("value").cast(f"struct<{','.join(f'{n}:{t}' for n, t in FOLDED)}>").alias("kept"))
+    delta = F.when(~F.col("kept.empty"), F.col("kept.total"))
+    return _on_base(spark, target, named.select(*S.KEY, "kept.value", delta.alias("delta"), "kept.created_at", "kept.updated_at"))
+
+
+def _on_base(spark: SparkSession, target: str, running: DataFrame) -> DataFrame:
+    base = _base_store(spark, target)
     if base.is_new():
         return running
     rows = base.read().withColumn("part", F.lit(0)).unionByName(running.withColumn("part", F.lit(1)))

@@ -74,6 +74,33 @@ def test_stream_fold_equals_batch_fold(spark, log, tmp_path):
     assert state_of(tm.read_fold(spark, target)) == state_of(tm.fold_state(log))
 
 
+@pytest.mark.parametrize("order", ["bigint", "decimal(38,0)"])
+def test_state_of_a_running_fold_without_a_copy(spark, log, tmp_path, order):
+    source, target, saved = (str(tmp_path / d) for d in ("in", "out", "snapshots"))
+    updates = log.withColumn("seq", F.col("seq").cast(order))
+
+    def arrive(rows, **options):
+        rows.coalesce(1).write.mode("append").parquet(source)
+        stream = spark.readStream.schema(updates.schema).parquet(source)
+        tm.run_fold(stream, target, state_partitions=2, copy=False, **options).awaitTermination()
+
+    arrive(updates.where("seq < 450"))
+    arrive(updates.where("seq >= 450"))
+    assert state_of(tm.read_running(spark, target)) == state_of(tm.fold_state(updates))
+    assert state_of(tm.read_running(spark, target, 0)) == state_of(tm.fold_state(updates.where("seq < 450")))
+    times = tm.read_running(spark, target).agg(F.min("created_at"), F.max("updated_at")).first()
+    assert times == log.agg(F.min("ts"), F.max("ts")).first()
+    assert not (tmp_path / "out" / "state").exists()
+    # a snapshot counts for new targets only
+    tm.save_snapshot(tm.fold_state(log), saved)
+    arrive(updates.limit(0), snapshot=saved)
+    assert state_of(tm.read_running(spark, target)) == state_of(tm.fold_state(updates))
+    target = str(tmp_path / "other")
+    arrive(updates.limit(0), snapshot=saved)
+    twice = tm.fold_state(log).withColumn("delta", F.col("delta") * 2)
+    assert state_of(tm.read_running(spark, target)) == state_of(twice)
+
+
 DOCS = [
     '[{"id":"g","type":"gauge","value":1},{"id":"c","type":"counter","delta":2},{"id":"c","type":"counter","delta":3}]',
     '[{"id":"c","type":"counter","delta":100},{"id":"","type":"gauge","value":1}]',
