@@ -133,6 +133,37 @@ def test_fit_without_labels_changes_nothing(spark, documents, empty):
     assert quality.fit(odd, labels.withColumn("id", F.lit("x"))) == quality.Bands()
 
 
+def test_bands_come_from_every_good_document(spark):
+    rng = random.Random(5)
+    words = ["".join(rng.choices("aeioulnrstdm", k=rng.randrange(2, 9))) for _ in range(900)]
+    texts = [" ".join(rng.choices(words, k=rng.randrange(20, 60) if i % 40 else 500)) for i in range(23000)]
+    docs = spark.createDataFrame([*enumerate(texts), (7, texts[7]), (None, texts[0]), (1, None)], "doc_id long, text string")
+    bands = quality.fit(docs, spark.range(len(texts)).selectExpr("id AS doc_id", "1 AS quality"))
+    zstd = zstandard.ZstdCompressor(level=3, write_content_size=False)
+    rows = docs.where("doc_id IS NOT NULL AND text IS NOT NULL").select("doc_id", "text", F.xxhash64("doc_id", "text").alias("place"))
+    raw = [(r["text"].encode(), r["place"]) for r in rows.collect()]
+    measured = [(len(x), *m, place) for x, place in raw if (m := quality.ratios(x, quality.Bands(), zstd)) and not quality.base_failed(quality.counts(x))]
+    size, whole, shape, place = (np.array([m[k] for m in measured]) for k in (0, 1, 2, 4))
+    order = np.lexsort((place, size))
+    size, whole, shape = (x[order] for x in (size, whole, shape))
+    assert len(size) > 20000 and len(bands.whole) == 18
+    assert np.allclose(bands.whole, quality.curve(size, whole, 0.002, 0.4), rtol=1e-9)
+    assert np.allclose(bands.shape, np.array(quality.curve(size, shape, 0.002, 0.4))[:, :2], rtol=1e-9)
+    middle = [float(np.median(m[3])) for m in measured if m[3]]
+    low, centre, high = np.quantile(middle, [0.002, 0.5, 0.998])
+    assert np.allclose(bands.chunk_band, (centre + 1.4 * (low - centre), centre + 1.4 * (high - centre)), rtol=1e-12)
+
+
+def test_quantiles_are_those_of_all_rows(spark):
+    rng = np.random.default_rng(2)
+    values = {k: rng.normal(size=n).round(2) for k, n in ((0, 1), (1, 2), (3, 2501), (4, 1000))}
+    rows = [(k, float(v), i) for k, x in values.items() for i, v in enumerate(x)]
+    df = spark.createDataFrame(rows, "key int, value double, place long").repartition(7)
+    for shares in ((0.5,), (0.002, 0.5, 0.998), (0.0, 1.0)):
+        got = quality.quantiles(df, dict.fromkeys(values, shares))
+        assert all(np.allclose(got[k], np.quantile(x, shares), rtol=1e-12) for k, x in values.items())
+
+
 def test_curves_hold_their_values():
     rng = np.random.default_rng(1)
     sizes = np.exp2(rng.uniform(7, 15, 4000))
