@@ -6,6 +6,7 @@ import random
 import sqlite3
 import time
 
+import pandas as pd
 import pyarrow as pa
 import pytest
 from pyspark.sql import Observation
@@ -345,6 +346,61 @@ def test_large_batches_leave_the_state_in_pieces(spark, tmp_path, monkeypatch):
     assert sorted(r.seq for r in tm.read_whole_batches(spark, str(tmp_path / "out")).collect()) == list(range(950))
 
 
+def rows_of_batches(spark, ids, k, n):
+    """The k-th of the n rows of each batch."""
+    return spark.createDataFrame([(b, n, n * b + k, *counter("c", b), "broken" if b % 50 == 49 and k else None) for b in ids], BATCH)
+
+
+def test_the_state_grows_with_groups_of_batches(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(batches, "GROUPS", 8)
+    source, target = str(tmp_path / "in"), str(tmp_path / "out")
+    state = []
+    for k in range(3):
+        rows_of_batches(spark, range(400), k, 3).coalesce(1).write.mode("append").parquet(source)
+        stream = spark.readStream.schema(BATCH).parquet(source)
+        query = tm.run_whole_batches(stream, target, state_partitions=2)
+        query.awaitTermination()
+        state.append(query.lastProgress["stateOperators"][0]["numRowsTotal"])
+    assert 0 < state[0] <= 16 and state[1] <= 24 and state[2] == 0
+    got = sorted(r.seq for r in tm.read_whole_batches(spark, target).collect())
+    assert got == [3 * b + k for b in range(400) if b % 50 != 49 for k in range(3)]
+
+
+class Held:
+    """Stands in for a group's state, and for its handle."""
+
+    def __init__(self):
+        self.rows, self.value, self.timers = {}, None, []
+        self.getMapState = self.getValueState = lambda *_: self
+        self.listTimers, self.deleteTimer, self.registerTimer = lambda: list(self.timers), self.timers.remove, self.timers.append
+        self.exists, self.get, self.clear = lambda: self.value is not None, lambda: self.value, lambda: self.update(None)
+        self.getValue, self.removeKey, self.updateValue = self.rows.get, self.rows.pop, self.rows.__setitem__
+        self.getCurrentProcessingTimeInMs = self.getExpiryTimeInMs = lambda: self.now
+
+    def update(self, value):
+        self.value = value
+
+
+def test_batches_that_do_not_fill_up_in_time_are_forgotten():
+    held = Held()
+    assembler = batches.BatchAssembler(["seq"], 100)
+    assembler.init(held)
+
+    def come(now, *rows):
+        held.now = now
+        part = pd.DataFrame([(b, 2, 0, f"{b}{i}") for b, i in rows], columns=["batch_key", "n_items", "bad", "seq"])
+        return sorted(x for out in assembler.handleInputRows(1, iter([part]), held) for x in out["seq"])
+
+    assert come(0, ("a", 0), ("b", 0)) == [] and held.timers == [100]
+    assert come(50, ("b", 1), ("c", 0)) == ["b0", "b1"] and held.timers == [100]
+    held.now = 100
+    assert list(assembler.handleExpiredTimer(1, held, held)) == [] and held.timers == [150]
+    assert come(120, ("a", 1), ("c", 1)) == ["c0", "c1"] and held.timers == [220]
+    held.now = 220
+    assert list(assembler.handleExpiredTimer(1, held, held)) == []
+    assert not held.timers and not held.rows and held.value is None
+
+
 def test_a_fold_starts_from_a_snapshot(spark, tmp_path):
     log = updates(spark, gauge("g", 1), counter("c", 1), gauge("old", 9), gauge("g", 2), counter("c", 5), counter("new", 1))
     log = log.withColumn("ts", F.expr("timestamp_ntz'2024-01-01' + make_dt_interval(seq)"))
