@@ -5,7 +5,9 @@ from __future__ import annotations
 import re
 import sys
 import types
+from collections import defaultdict
 from collections.abc import Callable, Sequence
+from itertools import chain, count, islice
 
 import numpy as np
 from tokenizers import Tokenizer, normalizers, pre_tokenizers
@@ -13,8 +15,10 @@ from tokenizers import Tokenizer, normalizers, pre_tokenizers
 #: Between words that are encoded together: a word of its own, whose token no other word can have.
 MARK = "\x01"
 WORD_END = "</w>"
-#: A stop or comma between a letter and a space is a token of its own.
-STOP = re.compile(rb"([a-z])([.,])(?=\s)")
+#: Bytes of text after which the words so far are looked up.
+STEP = 4 << 20
+#: A stop or comma between a letter and a space is a token of its own. Looked for by the stop, which is rarer.
+STOP = re.compile(rb"[.,](?=\s)(?<=[a-z].)")
 
 
 class WordEncoder:
@@ -22,7 +26,8 @@ class WordEncoder:
 
     Such a tokenizer also separates letters from what is not, so the ids of a text are those of its words, one after the
     other, even with a stop or comma behind a letter taken for a word of its own. Each new word is encoded once, together
-    with many others. Once ``limit`` words are held, further ones are encoded batch by batch, so memory is bounded.
+    with many others. Once ``limit`` words are held, further ones are encoded batch by batch and dropped again, so memory
+    is bounded. A word is looked up once for each time it occurs; the ids are gathered from one array by its number.
     """
 
     def __init__(self, path: str, limit: int = 400_000):
@@ -34,7 +39,9 @@ class WordEncoder:
         self.plain.normalizer = normalizers.Sequence([])
         self.plain.pre_tokenizer = pre_tokenizers.WhitespaceSplit()
         self.limit = limit
-        self.words: dict[bytes, bytes] = {}
+        #: Numbers of the words held; the ids of all of them, and where those of each number start and how many they are.
+        self.index: defaultdict[bytes, int] = defaultdict()
+        self.ids, self.starts, self.sizes = np.empty(0, self.dtype), np.empty(0, np.int64), np.empty(0, np.int64)
         self.ends = np.zeros(size, bool)
         for token, i in self.tokenizer.get_vocab(with_added_tokens=True).items():
             self.ends[i] = token.endswith(WORD_END)
@@ -45,20 +52,57 @@ class WordEncoder:
         low = text.lower()  # of ASCII letters only
         if any(x in low for x in self.special):  # names of special tokens count as they are written
             return text.split()
-        return STOP.sub(rb"\1 \2", low).split()
+        return STOP.sub(rb" \g<0>", low).split()
+
+    @property
+    def words(self) -> dict[bytes, bytes]:
+        """The words held, with their ids."""
+        return {w: self.ids[self.starts[i] : self.starts[i] + self.sizes[i]].tobytes() for w, i in self.index.items()}
 
     def texts(self, texts: Sequence[bytes]) -> list[bytes]:
+        out, part, size = [], [], 0
+        for text in texts:
+            part.append(text)
+            size += len(text)
+            if size >= STEP:
+                out += self._texts(part)
+                part, size = [], 0
+        return out + self._texts(part)
+
+    def _texts(self, texts: list[bytes]) -> list[bytes]:
         split = [self._split(x) for x in texts]
-        known, fresh = self.words, {}
-        new = set().union(*split).difference(known)
-        if new:
-            fresh = self._encode(new)
-            if len(known) + len(fresh) <= self.limit:
-                known.update(fresh)
-                fresh = {}
-        if not fresh:
-            return [b"".join(map(known.__getitem__, words)) for words in split]
-        return [b"".join([known[w] if w in known else fresh[w] for w in words]) for words in split]
+        edges = np.r_[0, np.cumsum([len(x) for x in split], dtype=np.int64)]
+        index, before = self.index, len(self.index)
+        index.default_factory = count(before).__next__  # a word not held yet gets the next number
+        codes = np.fromiter(map(index.__getitem__, chain.from_iterable(split)), np.int64, int(edges[-1]))
+        new = list(islice(reversed(index), len(index) - before))[::-1]
+        try:
+            self._hold(new)
+        except BaseException:
+            for w in new:
+                del index[w]
+            raise
+        sizes = self.sizes[codes]
+        ends = np.cumsum(sizes)
+        places = np.arange(ends[-1] if len(ends) else 0) + np.repeat(self.starts[codes] - (ends - sizes), sizes)
+        raw, width = self.ids[places].tobytes(), self.dtype.itemsize
+        cuts = (np.r_[0, ends][edges] * width).tolist()
+        if len(index) > max(before, self.limit):
+            self._drop(new[max(before, self.limit) - before :])
+        return [raw[a:b] for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
+
+    def _hold(self, new: list[bytes]) -> None:
+        made = self._encode(set(new))
+        sizes = np.array([len(made[w]) for w in new], np.int64) // self.dtype.itemsize
+        self.starts = np.r_[self.starts, len(self.ids) + np.cumsum(sizes) - sizes]
+        self.sizes = np.r_[self.sizes, sizes]
+        self.ids = np.r_[self.ids, np.frombuffer(b"".join([made[w] for w in new]), self.dtype)]
+
+    def _drop(self, last: list[bytes]) -> None:
+        for w in last:
+            del self.index[w]
+        n = len(self.index)
+        self.ids, self.starts, self.sizes = self.ids[: self.starts[n]].copy(), self.starts[:n].copy(), self.sizes[:n].copy()
 
     def _encode(self, words: set[bytes]) -> dict[bytes, bytes]:
         plain = [w for w in words if w.isalpha() and w.islower()]

@@ -46,6 +46,28 @@ def test_word_encoder_keeps_words_without_ids_when_full():
     assert encoder.words["\u00a0".encode()] == b"" and len(encoder.words) <= 4
 
 
+def test_word_encoder_looks_each_word_up_once(monkeypatch):
+    monkeypatch.setattr(tokens, "STEP", 40)
+    encoder, asked = tokens.WordEncoder(TOKENIZER, 5), []
+    encode = encoder._encode
+    monkeypatch.setattr(encoder, "_encode", lambda words: asked.append(len(words)) or encode(words))
+    texts = ["one two, three. four", "", "five six one seven", "six two.\t7, x., (y.) eight", "one,\ntwo", "nine ten " * 9]
+    for _ in range(2):
+        got = encoder.texts([t.encode() for t in texts])
+        assert [np.frombuffer(x, encoder.dtype).tolist() for x in got] == [ids_of(t) for t in texts]
+        assert len(encoder.words) == len(encoder.starts) == len(encoder.sizes) == 5 and encoder.sizes.sum() == len(encoder.ids)
+    assert asked[0] > 5 and encoder.texts([]) == []
+    held = encoder.words
+
+    def fail(words):
+        raise MemoryError
+
+    monkeypatch.setattr(encoder, "_encode", fail)
+    with pytest.raises(MemoryError):
+        encoder.texts([b"a word never seen"])
+    assert encoder.words == held and len(encoder.index) == 5
+
+
 def check_pieces(got, want_ids, length):
     """Every id in exactly one piece, sequences without gaps, all full but the last."""
     docs, sequences = defaultdict(list), defaultdict(list)
